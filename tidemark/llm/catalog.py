@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import symbol_key
-from tidemark.llm import encode, leaks, nearest
+from tidemark.functions.keys import strip, symbol_key
+from tidemark.llm import encode, leaks, nearest, quality
 from tidemark.session import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -20,6 +20,26 @@ def _days(c: str):
     return F.expr(f"datediff({c}, {EPOCH})")
 
 
+def _texts(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, id, text) of each delivered submission and comment; removed and blank bodies have null texts."""
+    gone = lambda c: F.coalesce(F.lower(strip(c)), F.lit("")).isin("", "[removed]", "[deleted]")
+    title = F.coalesce("title", F.lit(""))
+    posts = table(spark, d, "submissions").select(F.lit("submission").alias("kind"), "id", F.when(gone("selftext"), title).otherwise(F.concat(title, F.lit("\n\n"), "selftext")).alias("text"))
+    replies = table(spark, d, "comments").select(F.lit("comment").alias("kind"), "id", F.when(~gone("body"), F.col("body")).alias("text"))
+    return posts.unionByName(replies)
+
+
+def p2_quality(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, id, statistics, label shares) of each delivered text."""
+    return quality.text_quality(_texts(spark, d), F.col("text")).select("kind", "id", "quality.*")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, id) of the texts of 40 characters or more that are, by the greater part, no running prose."""
+    judged = quality.text_quality(_texts(spark, d).where(F.length(strip("text")) >= 40), F.col("text"))
+    return judged.where("quality.prose < 0.5").select("kind", "id").distinct()
+
+
 def p6_nearest(spark: SparkSession, d: str) -> DataFrame:
     """(symbol, day, price_day) of each distinct symbol and day of reddit_daily; price_day is null if none is near."""
     left = table(spark, d, "reddit_daily").select("symbol", "day").distinct()
@@ -44,7 +64,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "passage")
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p6_nearest, p8_ids, p9_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p6_found, p6_nearest, p8_ids, p9_found)}
 
 _NEAREST = """days AS (SELECT DISTINCT symbol, day FROM reddit_daily),
   priced AS (SELECT DISTINCT upper(regexp_replace(symbol, '^\\s+|\\s+$', '', 'g')) AS symbol, day AS price_day FROM prices WHERE Close IS NOT NULL),
