@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import strip, symbol_key
-from tidemark.llm import encode, leaks, nearest, quality
+from tidemark.llm import canonical, encode, leaks, nearest, quality, residue
 from tidemark.session import table
 
 #: Where the vocabulary files of the public tokenizers are.
@@ -40,6 +40,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return judged.where("quality.prose < 0.5").select("kind", "id").distinct()
 
 
+def p5_mapped(spark: SparkSession, d: str) -> DataFrame:
+    """(mention_id, symbol, symbol_ref) of each mention; symbol_ref is '' where the value names no entry."""
+    mentions = table(spark, d, "exploded").select("mention_id", "symbol")
+    return canonical.map_column(mentions, "symbol", table(spark, d, "symbol_list"), "symbol", "name")
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """(mention_id, symbol_ref) of the mentions whose symbol is no literal entry."""
+    return p5_mapped(spark, d).where("symbol_ref IS NOT NULL AND symbol <> symbol_ref").select("mention_id", "symbol_ref")
+
+
 def p6_nearest(spark: SparkSession, d: str) -> DataFrame:
     """(symbol, day, price_day) of each distinct symbol and day of reddit_daily; price_day is null if none is near."""
     left = table(spark, d, "reddit_daily").select("symbol", "day").distinct()
@@ -64,7 +75,12 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "passage")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p6_found, p6_nearest, p8_ids, p9_found)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    """(doc_id) of the documents that are or contain page residue."""
+    return residue.find_residue(table(spark, d, "documents"), "text", "source").select("doc_id").distinct()
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p5_found, p5_mapped, p6_found, p6_nearest, p8_ids, p9_found, p10_found)}
 
 _NEAREST = """days AS (SELECT DISTINCT symbol, day FROM reddit_daily),
   priced AS (SELECT DISTINCT upper(regexp_replace(symbol, '^\\s+|\\s+$', '', 'g')) AS symbol, day AS price_day FROM prices WHERE Close IS NOT NULL),
