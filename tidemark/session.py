@@ -7,6 +7,7 @@ import os
 import shutil
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -50,7 +51,6 @@ class Workspace:
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
         self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-        self.made: dict[int, str] = {}
         self.count = 0
 
     def path(self, label: str) -> str:
@@ -63,10 +63,13 @@ class Workspace:
         writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(at)
         back = self.spark.read.schema(df.schema).parquet(at)
-        self.made[id(back)] = at
         back._tidemark_at = at
         return back, int(seen.get["n"])
 
+    def read(self, tables: list[DataFrame]) -> DataFrame:
+        """Several stored tables of one schema as one scan."""
+        return self.spark.read.schema(tables[0].schema).parquet(*(t._tidemark_at for t in tables))
+
     def drop(self, *tables: DataFrame) -> None:
         for t in tables:
             self.remove(t._tidemark_at)
@@ -77,5 +80,25 @@ class Workspace:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers of the session this package, once; they need it wherever rows pass through Python."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        home = os.path.dirname(os.path.abspath(__file__))
+        folder = tempfile.mkdtemp(prefix="tidemark-ship-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        with zipfile.ZipFile(os.path.join(folder, "tidemark.zip"), "w") as z:
+            for at, _, names in os.walk(home):
+                for n in names:
+                    if n.endswith(".py"):
+                        z.write(os.path.join(at, n), os.path.relpath(os.path.join(at, n), os.path.dirname(home)))
+        spark.sparkContext.addPyFile(os.path.join(folder, "tidemark.zip"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
