@@ -7,9 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.keys import strip, symbol_key
-from tidemark.llm import canonical, encode, leaks, nearest, quality, residue
-from tidemark.session import table
+from tidemark.functions.keys import strip, symbol_key, thread_key
+from tidemark.llm import canonical, encode, history, leaks, nearest, quality, residue
+from tidemark.session import Workspace, table
 
 #: Where the vocabulary files of the public tokenizers are.
 TOKENIZERS = os.environ.get("TIDEMARK_TOKENIZERS", "/opt/tokenizers")
@@ -64,6 +64,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return p6_nearest(spark, d).where("price_day <> day").select("symbol", *(F.date_format(c, "yyyy-MM-dd").alias(c) for c in ("day", "price_day")))
 
 
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, id_a, id_b) of the records that repeat something accepted in an earlier batch."""
+    part = lambda name, kind, text: table(spark, d, name).select(F.lit(kind).alias("kind"), thread_key("id").alias("key"), "id", text.cast("string").alias("text"), F.col("batch_no").cast("long").alias("batch"), F.col("arrived_at").alias("arrived"))
+    records = part("submissions", "submission", F.lit(None)).unionByName(part("comments", "comment", F.col("body")))
+    return history.repeated_records(records, Workspace(spark, "p7"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """(doc_id, ids) of each document by byte_bpe_50k."""
     docs = table(spark, d, "documents").select("doc_id", "text")
@@ -80,7 +87,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.find_residue(table(spark, d, "documents"), "text", "source").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p5_found, p5_mapped, p6_found, p6_nearest, p8_ids, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p5_found, p5_mapped, p6_found, p6_nearest, p7_found, p8_ids, p9_found, p10_found)}
 
 _NEAREST = """days AS (SELECT DISTINCT symbol, day FROM reddit_daily),
   priced AS (SELECT DISTINCT upper(regexp_replace(symbol, '^\\s+|\\s+$', '', 'g')) AS symbol, day AS price_day FROM prices WHERE Close IS NOT NULL),
