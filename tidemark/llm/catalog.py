@@ -36,7 +36,7 @@ def p2_quality(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """(kind, id) of the texts of 40 characters or more that are, by the greater part, no running prose."""
-    judged = quality.text_quality(_texts(spark, d).where(F.length(strip("text")) >= 40), F.col("text"))
+    judged = quality.text_quality(_texts(spark, d).where(F.length(strip("text")) >= 40), F.col("text"), counts=False)
     return judged.where("quality.prose < 0.5").select("kind", "id").distinct()
 
 

@@ -37,10 +37,11 @@ WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)?")
 URL = re.compile(r"(?:https?://|www\.)\S+")
 MARKER = re.compile(r"\s*(?:([-*•·‣▪–—+>])|(\d{1,3}[.)])|(\(?[a-zA-Z][.)]))\s+\S")
 PAIR = re.compile(r"\s*[^\s:][^:]{0,40}:\s+\S[^.!?]{0,30}$")
-COLUMNS = re.compile(r"\t| {2,}|\||;|,(?=\S)|(?<=\S) / (?=\S)")
-INLINE = re.compile(r"(?:^|\s)(?:[-*•·‣▪–—+|]|#?\d{1,3}[.)]|#\d{1,3}|[^\W\d_]+:)(?=\s)")
+RUNS = re.compile(r"\S {2,}(?=\S)")
+ENTRY = re.compile(r"(?:[-*•·‣▪–—+|]|#?\d{1,3}[.)]|#\d{1,3}|[^\W\d_]+:)$").match
 CLOSING = re.compile(r"[.!?…][\"'”’)\]*]*\s*$")
-VOWELS = frozenset("aeiouyáéíóúàèìòùâêîôûäëïöü")
+DIGIT = re.compile(r"\d").search
+VOWELS, ACCENTED = "aeiouy", "áéíóúàèìòùâêîôûäëïöü"
 
 
 def step(x: float, *bounds: float) -> int:
@@ -51,45 +52,64 @@ def tokens_of(line: str) -> list[str]:
     return URL.sub(" ", line).split()
 
 
-def inline(line: str, tokens: int) -> int:
+def inline(tokens: list[str]) -> int:
     """How far a line is a list written in a row: entries with a marker or a key each."""
-    found = len(INLINE.findall(line))
-    return step(found / max(1, tokens), 0.1, 0.16) if found > 2 else 0
+    found = sum(map(bool, map(ENTRY, tokens[:-1])))
+    return step(found / len(tokens), 0.1, 0.16) if found > 2 else 0
+
+
+def columns(line: str) -> tuple[int, int]:
+    """Marks that separate columns (tabs, bars, semicolons, wide gaps, commas without a blank), and slashes between words."""
+    n = line.count("\t") + line.count("|") + line.count(";")
+    if "," in line:
+        n += line.count(",") - line.count(", ") - line.endswith(",")
+    if "  " in line:
+        n += len(RUNS.findall(line))
+    return n, line.count(" / ")
+
+
+def vowel_share(words: list[str]) -> float:
+    joined = "".join(words)
+    return sum(map(joined.count, VOWELS if joined.isascii() else VOWELS + ACCENTED)) / (len(joined) or 1)
 
 
 def describe(line: str) -> tuple[int, ...]:
     """The statistics of one line, each as a small step number."""
-    tokens = tokens_of(line)
-    words = WORD.findall(URL.sub(" ", line).lower())
-    n, solid = len(tokens), sum(not ch.isspace() for ch in line) or 1
-    letters = sum(ch.isalpha() for ch in line)
-    plain = sum(ch.isalnum() for ch in line)
-    ascii_ = [w for w in words if w.isascii()]
+    linked = "://" in line or "www." in line
+    bare = URL.sub(" ", line) if linked else line
+    tokens = bare.split()
+    words = WORD.findall(bare.lower())
+    n, nw, solid = len(tokens), max(1, len(words)), len("".join(line.split())) or 1
+    letters = sum(map(len, words))
+    plain = letters + sum(map(line.count, "0123456789")) + (len(line) - len(bare) if linked else 0)
     marker = MARKER.match(line)
-    numbers = sum(any(c.isdigit() for c in t) for t in tokens)
-    mixed = sum(1 for t in tokens if len(t) > 24 and any(c.isdigit() or c.isupper() for c in t[1:]))
-    vowels = sum(ch in VOWELS for w in words for ch in w) / max(1, sum(map(len, words)))
-    caps = sum(t.strip("$#()*.,:;").isupper() for t in tokens)
-    odd = sum(ord(ch) > 0x7F for ch in line) / solid
+    numbers = sum(map(bool, map(DIGIT, tokens)))
+    longest = max(map(len, tokens), default=0)
+    mixed = longest > 24 and any(len(t) > 24 and not t[1:].islower() for t in tokens)
+    vowels = vowel_share(words)
+    caps = sum(map(str.isupper, tokens))
+    foreign = not line.isascii()
+    odd = sum(ch > "\x7f" for ch in line) / solid if foreign else 0
+    ascii_ = [w for w in words if w.isascii()] if foreign else words
     return (
         0 if not marker else 1 + next(i for i, g in enumerate(marker.groups()) if g),
-        step(len(COLUMNS.findall(line.strip())), 1, 2, 4),
-        step(sum(w in COMMON for w in words) / max(1, len(words)), 0.01, 0.12, 0.25, 0.4),
+        step(sum(columns(line.strip())), 1, 2, 4),
+        step(sum(map(COMMON.__contains__, words)) / nw, 0.01, 0.12, 0.25, 0.4),
         step(numbers / max(1, n), 0.01, 0.2, 0.4, 0.7),
         step(1 - plain / solid, 0.05, 0.1, 0.2, 0.35),
-        step(max(map(len, tokens), default=0), 16, 25, 40),
+        step(longest, 16, 25, 40),
         step(n, 1, 2, 4, 8, 16),
-        step(len(set(words)) / len(words) if len(words) > 5 else 1, 0.3, 0.6),
+        step(len(set(words)) / nw if nw > 5 else 1, 0.3, 0.6),
         step(letters / solid, 0.4, 0.65),
         int(bool(CLOSING.search(line))),
-        step(sum(map(len, URL.findall(line))) / solid, 0.01, 0.5),
+        step(sum(map(len, URL.findall(line))) / solid if linked else 0, 0.01, 0.5),
         step(vowels, 0.12, 0.25),
         step(caps / max(1, n), 0.01, 0.3, 0.8),
-        int(mixed > 0),
+        int(mixed),
         step(odd, 0.01, 0.3),
         int(bool(PAIR.match(line))),
         step(sum(map(len, ascii_)) / max(1, len(ascii_)), 2.2, 3.2, 7, 10),
-        inline(line, n),
+        inline(tokens),
     )
 
 
@@ -105,7 +125,7 @@ def rule(line: str) -> int:
     plain = sum(ch.isalnum() for ch in solid)
     if URL.search(line) and len(words) < 3:
         return 1
-    if plain < 0.5 * len(solid) and common < 0.1 and not COLUMNS.search(line.strip()):
+    if plain < 0.5 * len(solid) and common < 0.1 and not sum(columns(line.strip())):
         return 3
     if any(len(t) > 40 for t in tokens) and common < 0.1:
         return 3
@@ -115,18 +135,18 @@ def rule(line: str) -> int:
         return 3
     if sum(ord(c) > 0x7F and not c.isspace() for c in solid) > 0.5 * len(solid) and not any(w.isascii() for w in words):
         return 3
-    if len(words) > 4 and common < 0.05 and sum(c in VOWELS for w in words for c in w) < 0.12 * sum(map(len, words)) and not any(t.isupper() or any(c.isdigit() for c in t) for t in tokens):
+    if len(words) > 4 and common < 0.05 and vowel_share(words) < 0.12 and not any(t.isupper() or any(c.isdigit() for c in t) for t in tokens):
         return 3
-    cols = COLUMNS.findall(line.strip())
+    cols, slashes = columns(line.strip())
     if len(tokens) > 7 and sum(any(c.isdigit() for c in t) for t in tokens) > 0.55 * len(tokens) and common < 0.1:
         return 2
-    if inline(line, len(tokens)) > 1 and common < 0.3:
+    if inline(tokens) > 1 and common < 0.3:
         return 1
-    if len(cols) > 1 and common < 0.12 and " / " not in cols:
+    if cols > 1 and common < 0.12 and not slashes:
         return 2
-    if (MARKER.match(line) and len(tokens) < 9 or PAIR.match(line) and len(tokens) < 8 or len(cols) > 2) and common < 0.4:
+    if (MARKER.match(line) and len(tokens) < 9 or PAIR.match(line) and len(tokens) < 8 or cols + slashes > 2) and common < 0.4:
         return 1
-    if len(words) > 4 and common >= 0.25 and not MARKER.match(line) and not cols:
+    if len(words) > 4 and common >= 0.25 and not MARKER.match(line) and not cols + slashes:
         return 0
     return -1
 
@@ -140,6 +160,7 @@ class LineModel:
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: list[np.ndarray]):
         self.start, self.move, self.emit = start, move, emit
+        self.scores: dict[tuple[int, ...], np.ndarray] = {}
 
     @classmethod
     def fit(cls, texts: list[str]) -> "LineModel":
@@ -184,7 +205,10 @@ class LineModel:
         return path[::-1]
 
     def score(self, x: tuple[int, ...]) -> np.ndarray:
-        return sum(e[:, v] for e, v in zip(self.emit, x))
+        known = self.scores.get(x)
+        if known is None:
+            known = self.scores[x] = sum(e[:, v] for e, v in zip(self.emit, x))
+        return known
 
     def shares(self, text: str) -> list[float]:
         """The share of the characters in lines of each state; all prose where there are no lines."""
@@ -199,8 +223,8 @@ class LineModel:
 def statistics(text: str) -> tuple[int, int, float, float, float, float]:
     """Characters, words, mean word length, symbol ratio, share of lines that end in punctuation, share of common words."""
     words, lines = WORD.findall(text.lower()), lines_of(text)
-    solid = sum(not ch.isspace() for ch in text)
-    symbols = sum(not ch.isalnum() and not ch.isspace() for ch in text)
+    solid = len("".join(text.split()))
+    symbols = solid - sum(map(str.isalnum, text))
     return (
         len(text),
         len(words),
@@ -211,7 +235,8 @@ def statistics(text: str) -> tuple[int, int, float, float, float, float]:
     )
 
 
-RESULT = "chars int, words int, mean_word_length double, symbol_ratio double, closed_lines double, common_words double, " + ", ".join(f"{s} double" for s in STATES)
+SHARES = ", ".join(f"{s} double" for s in STATES)
+RESULT = "chars int, words int, mean_word_length double, symbol_ratio double, closed_lines double, common_words double, " + SHARES
 
 
 def sample(df: DataFrame, text: Column, least_chars: int) -> list[str]:
@@ -220,18 +245,20 @@ def sample(df: DataFrame, text: Column, least_chars: int) -> list[str]:
     return [r[0] for r in texts.select("t", F.xxhash64("t").alias("h")).orderBy("h", "t").limit(SAMPLE_TEXTS).select("t").collect()]
 
 
-def text_quality(df: DataFrame, text: Column, least_chars: int = 40) -> DataFrame:
-    """``df`` with a struct ``quality`` of RESULT; null where the text is null. Empty and blank texts have zero counts and count as prose.
+def text_quality(df: DataFrame, text: Column, least_chars: int = 40, counts: bool = True) -> DataFrame:
+    """``df`` with a struct ``quality`` of RESULT, or of the label shares alone; null where the text is null.
 
-    One pass over the rows with the fitted model (a few kilobytes) broadcast; nothing is shuffled.
+    Empty and blank texts have zero counts and count as prose. One pass over the rows with the fitted model (a few
+    kilobytes) broadcast; nothing is shuffled.
     """
     fitted = df.sparkSession.sparkContext.broadcast(LineModel.fit(sample(df, text, least_chars)))
+    result = RESULT if counts else SHARES
+    names = [x.split()[0] for x in result.split(", ")]
 
-    @F.pandas_udf(RESULT)
+    @F.pandas_udf(result)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = [x.split()[0] for x in RESULT.split(", ")]
         for batch in batches:
-            rows = [(None,) * len(names) if t is None or isinstance(t, float) else (*statistics(t), *fitted.value.shares(t)) for t in batch]
+            rows = [(None,) * len(names) if t is None else (*(statistics(t) if counts else ()), *fitted.value.shares(t)) for t in batch]
             yield pd.DataFrame(rows, columns=names)
 
     return df.withColumn("quality", judge(text)).withColumn("quality", F.when(text.isNotNull(), F.col("quality")))
