@@ -2,13 +2,12 @@
 
 Typed values and reference entries become strings of letters and digits, strings become sets of letter pairs. Pairs are
 ordered by their rarity in the reference list; two sets can only reach the threshold if their prefixes (the rarest
-pairs) share one, which is an equi-join. Length and position bounds discard most of what meets, the Jaccard coefficient
+pairs) share one, which is an equi-join. The threshold follows from the length: it admits one wrong letter. Length and position bounds discard most of what meets, the Jaccard coefficient
 is verified exactly, and the best entry of each value is kept.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import unicodedata
 from collections import Counter
@@ -19,9 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import strip
+from tidemark.session import ship
 
-#: One wrong, missing or extra letter leaves strings of five letters at least this similar.
-THRESHOLD = 0.5
+#: One wrong, missing or extra letter takes at most two pairs from the larger of two sets of m pairs, which leaves a
+#: Jaccard coefficient of at least (m - 2) / (m + 2): the threshold is a matter of length.
+LOST_PAIRS = 2
 #: A misspelt string must stand for an entry string of at least this many characters.
 LEAST_FUZZY = 5
 #: So many consecutive words of a value are also tried in one.
@@ -75,11 +76,17 @@ def entry_strings(symbol: str, name: str | None) -> list[tuple[str, str]]:
     return [(k, s) for k, s in out if s]
 
 
-def prefix_rows(s: str, rarity: dict[str, int]) -> list[tuple[str, int]]:
-    """(pair, position) of the prefix of a string, rarest pairs first; pairs that no entry has match nothing and are left out."""
+def prefix_rows(s: str, rarity: dict[str, int], lost: int = LOST_PAIRS) -> list[tuple[str, int]]:
+    """(pair, position) of the prefix of a string, rarest pairs first: one more than may be lost.
+
+    Pairs that no entry has match nothing; they keep their positions and are left out.
+    """
     ordered = sorted(pairs_of(s), key=lambda p: (rarity.get(p, 0), p))
-    most = len(ordered) - math.ceil(THRESHOLD * len(ordered)) + 1
-    return [(p, i) for i, p in enumerate(ordered[:most]) if p in rarity]
+    return [(p, i) for i, p in enumerate(ordered[: lost + 1]) if p in rarity]
+
+
+def may_be_misspelt(kind: str, s: str) -> bool:
+    return kind in ("symbol", "first") and len(s) >= LEAST_FUZZY
 
 
 SIDE = "s string, size int, pairs array<string>, pair string, pos int"
@@ -93,10 +100,11 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     count its letter pairs.
     """
     spark = values.sparkSession
+    ship(spark)
     entries = [(r[0], kind, s) for r in reference.select(symbol, name).where(F.col(symbol).isNotNull()).distinct().toLocalIterator() for kind, s in entry_strings(r[0], r[1])]
     rarity = Counter(p for s in {s for *_, s in entries} for p in pairs_of(s))
     cores = {sym: s for sym, kind, s in entries if kind == "core"}
-    ref_rows = [(sym, kind, s, cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity)]
+    ref_rows = [(sym, kind, s, cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity, LOST_PAIRS if may_be_misspelt(kind, s) else 0)]
     index = spark.createDataFrame(ref_rows, "symbol_ref string, kind string, rs string, core string, rsize int, rpairs array<string>, pair string, rpos int")
     if len(entries) <= BROADCAST_STRINGS:
         index = F.broadcast(index)
@@ -107,16 +115,17 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
             rows = [(v, "".join(words_of(v)), c, len(c) + 1, pairs_of(c), p, i) for v in batch["value"] for c in candidates(v) for p, i in prefix_rows(c, shared.value)]
             yield pd.DataFrame(rows, columns=["value", "whole", "s", "size", "pairs", "pair", "pos"])
 
-    probes = values.select("value").mapInPandas(spread, "value string, whole string, " + SIDE)
-    need = F.ceil(F.lit(THRESHOLD / (1 + THRESHOLD)) * (F.col("size") + F.col("rsize")) - 1e-9)
+    # cheap to send, dear to take apart: spread over all cores, however few bytes the values are
+    parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    probes = values.select("value").repartition(parts).mapInPandas(spread, "value string, whole string, " + SIDE)
+    need = F.greatest("size", "rsize") - LOST_PAIRS
     met = (
         probes.join(index, "pair")
-        .where((F.col("size") >= THRESHOLD * F.col("rsize")) & (F.col("rsize") >= THRESHOLD * F.col("size")))
+        .where(F.abs(F.col("size") - F.col("rsize")) <= 1)
         .where(1 + F.least(F.col("size") - F.col("pos") - 1, F.col("rsize") - F.col("rpos") - 1) >= need)
-        .where((F.col("s") == F.col("rs")) | (F.abs(F.length("s") - F.length("rs")) <= 1))
     )
-    shared_pairs = F.size(F.array_intersect("pairs", "rpairs"))
-    verified = met.withColumn("common", shared_pairs).withColumn("similarity", F.col("common") / (F.col("size") + F.col("rsize") - F.col("common"))).where(F.col("similarity") >= THRESHOLD)
+    verified = met.withColumn("common", F.size(F.array_intersect("pairs", "rpairs"))).where(F.col("common") >= need)
+    verified = verified.withColumn("similarity", F.col("common") / (F.col("size") + F.col("rsize") - F.col("common")))
     exact = F.col("s") == F.col("rs")
     fuzzy = F.col("kind").isin("symbol", "first") & (F.length("rs") >= LEAST_FUZZY) & (F.levenshtein("s", "rs", 1) == 1)
     kept = verified.where(exact | fuzzy).withColumn("exact", exact).withColumn("apart", F.levenshtein("whole", "core"))
