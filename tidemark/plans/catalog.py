@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.plans import problems
+from tidemark.plans import pipeline, problems
 
-FLAGSHIP = "p3_rolling"
-QUERIES = {**problems.QUERIES}
-ORACLE = {**problems.ORACLE}
+FLAGSHIP = "enrich_full"
+QUERIES = {**pipeline.QUERIES, **problems.QUERIES}
+ORACLE = {**pipeline.ORACLE, **problems.ORACLE}
