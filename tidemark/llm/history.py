@@ -7,8 +7,9 @@ stand in the other, their distance is at most two fifths of its length.
 Cells belong to coordinates, ordered once by their frequency in the first batch, rarest first. An accepted vector is
 filed in the cells of its leading coordinates; a new one probes the cells of its own, rarest first, and may stop as soon
 as the coordinates already probed put every vector not yet met beyond the distance: after a fifth of its length plus one
-cell. Length and position bounds discard most of what is met, the distance of the full vectors most of the rest, and
-what remains is compared word by word (longest common subsequence). Accepted vectors are then appended to the cells;
+cell. Bounds by length, by position and by a sketch of parities, which never exceeds the distance, discard
+nearly all of what is met inside the join; what is left is measured by the full vectors and then compared word by word
+(longest common subsequence). Accepted vectors are then appended to the cells;
 neither texts nor vectors of the history are processed again.
 
 Texts that are equal word for word are one class with one vector; only their ids are kept apart.
@@ -107,24 +108,54 @@ def frequencies(texts: DataFrame) -> dict[str, int]:
     return {r[0]: RANKED - i for i, r in enumerate(counted.collect())}
 
 
+def signed(n: int) -> int:
+    return n - (1 << 64) if n >> 63 else n
+
+
+def parities(hashes: list[int]) -> list[int]:
+    """A sketch of 256 bits: each coordinate flips one of them, so two sketches differ in at most as many bits as the vectors do in coordinates."""
+    bits = [0, 0, 0, 0]
+    for h in hashes:
+        bits[h >> 6 & 3] ^= 1 << (h & 63)
+    return [signed(b) for b in bits]
+
+
+VECTOR = "vector array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+
+
 def vectors(texts: DataFrame, places: dict[str, int]) -> DataFrame:
-    """(batch, class, words, vector) with the coordinates as hashes, rarest first."""
+    """``texts`` with their vectors, coordinates as hashes with the rarest first, sketches, and a number vid of each row."""
     shared = texts.sparkSession.sparkContext.broadcast(places)
 
-    def order(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            place = shared.value.get
-            yield batch.map(lambda w: sorted(coordinates(w.split(" ")), key=lambda c: (place(c, 0), hashlib.md5(c.encode("utf-8", "replace")).digest())))
+    def order(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        import xxhash
 
-    udf = F.pandas_udf(order, "array<string>")
-    return texts.withColumn("vector", F.transform(udf("words"), lambda c: F.xxhash64(c)))
+        place, known = shared.value, {}
+        for batch in batches:
+            if len(known) > 10 * RANKED:
+                known = {}
+            rows = []
+            for words in batch:
+                keyed = []
+                for c in coordinates(words.split(" ")):
+                    k = known.get(c)
+                    if k is None:
+                        k = known[c] = (place.get(c, 0), xxhash.xxh64_intdigest(c.encode("utf-8", "replace")))
+                    keyed.append(k)
+                keyed.sort()
+                hashes = [h for _, h in keyed]
+                rows.append(([signed(h) for h in hashes], *parities(hashes)))
+            yield pd.DataFrame(rows, columns=["vector", "s0", "s1", "s2", "s3"])
+
+    udf = F.pandas_udf(order, VECTOR)
+    return texts.withColumn("v", udf("words")).select("*", "v.*").drop("v").withColumn("vid", F.monotonically_increasing_id())
 
 
 def filed(vecs: DataFrame) -> DataFrame:
-    """(cell, pos, class, size): the cells in which vectors are filed, or which they probe."""
+    """(cell, pos, vid, size, sketch): the cells in which vectors are filed, or which they probe."""
     size = F.size("vector")
     leading = F.slice("vector", 1, (size - F.ceil(size * SHARE - 1e-9) + 1).cast("int"))
-    return vecs.select("class", size.alias("size"), F.posexplode(leading).alias("pos", "cell")).select("cell", "pos", "class", "size")
+    return vecs.select("vid", size.alias("size"), "s0", "s1", "s2", "s3", F.posexplode(leading).alias("pos", "cell")).select("cell", "pos", "vid", "size", "s0", "s1", "s2", "s3")
 
 
 class History:
@@ -137,20 +168,23 @@ class History:
         self.members: list[DataFrame] = []
 
     def matches(self, new: DataFrame) -> DataFrame:
-        """(class, accepted): the accepted classes that the classes of ``new`` (class, words, vector) repeat."""
+        """(class, accepted): the accepted classes that the classes of ``new`` (a batch of ``vectors``) repeat."""
         q, x = filed(new).alias("q"), self.ws.read(self.cells).alias("x")
         most = F.greatest("q.size", "x.size")
         need = F.ceil(most * SHARE - 1e-9)
+        apart = F.col("q.size") + F.col("x.size") - 2 * need
+        flipped = sum((F.bit_count(F.col(f"q.s{i}").bitwiseXOR(F.col(f"x.s{i}"))) for i in range(4)), F.lit(0))
         met = (
             q.join(x, F.col("q.cell") == F.col("x.cell"))
             .where(F.least("q.size", "x.size") >= need)
             .where(1 + F.least(F.col("q.size") - F.col("q.pos") - 1, F.col("x.size") - F.col("x.pos") - 1) >= need)
-            .select(F.col("q.class").alias("class"), F.col("x.class").alias("accepted"))
+            .where(flipped <= apart)
+            .select(F.col("q.vid").alias("vid"), F.col("x.vid").alias("met"))
             .distinct()
         )
-        left = new.select("class", F.col("words").alias("qw"), F.col("vector").alias("qv"))
-        right = self.ws.read(self.classes).select(F.col("class").alias("accepted"), F.col("words").alias("xw"), F.col("vector").alias("xv"))
-        near = met.join(left, "class").join(right, "accepted").where(F.size(F.array_intersect("qv", "xv")) >= F.greatest(F.size("qv"), F.size("xv")) * SHARE - 1e-9)
+        left = new.select("vid", "class", F.col("words").alias("qw"), F.col("vector").alias("qv"))
+        right = self.ws.read(self.classes).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("words").alias("xw"), F.col("vector").alias("xv"))
+        near = met.join(left, "vid").join(right, "met").where(F.size(F.array_intersect("qv", "xv")) >= F.greatest(F.size("qv"), F.size("xv")) * SHARE - 1e-9)
 
         @F.pandas_udf("boolean")
         def same(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -159,11 +193,11 @@ class History:
         return near.where(same("qw", "xw")).select("class", "accepted")
 
     def ingest(self, texts: DataFrame) -> DataFrame | None:
-        """Pairs (id_new, id_old) of a batch (id, class, words, vector) with what was accepted before; the rest is accepted.
+        """Pairs (id_new, id_old) of a batch of ``vectors`` with what was accepted before; the rest is accepted.
 
         Texts of one batch are not compared with each other, rejected ones not kept.
         """
-        new = texts.select("class", "words", "vector").dropDuplicates(["class"])
+        new = texts.drop("id", "batch").dropDuplicates(["class"])
         ids = texts.select("id", "class")
         if not self.cells:
             self.append(new, ids)
