@@ -139,7 +139,7 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
 def map_column(df: DataFrame, column: str, reference: DataFrame, symbol: str, name: str) -> DataFrame:
     """``df`` with symbol_ref: the entry that ``column`` stands for, '' if none; null for null and blank values.
 
-    Literal entries stand for themselves. The distinct other values are matched, each once, and joined back.
+    Literal entries stand for themselves; a column of the name ``symbol_ref`` is replaced. The distinct other values are matched, each once, and joined back.
     """
     literal = reference.select(F.col(symbol).alias("__v"), F.col(symbol).alias("__literal")).where("__v IS NOT NULL").distinct()
     present = F.length(strip(column)) > 0
@@ -147,4 +147,4 @@ def map_column(df: DataFrame, column: str, reference: DataFrame, symbol: str, na
     values = values.join(literal, F.col("value") == F.col("__v"), "left_anti").select("value")
     found = match_values(values, reference, symbol, name).select(F.col("value").alias("__value"), "symbol_ref")
     joined = df.join(literal, F.col(column) == F.col("__v"), "left").join(found, F.col(column) == F.col("__value"), "left")
-    return joined.select(*(F.col(f"`{c}`") for c in df.columns), F.when(present, F.coalesce("__literal", "symbol_ref", F.lit(""))).alias("symbol_ref"))
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns if c != "symbol_ref"), F.when(present, F.coalesce("__literal", "symbol_ref", F.lit(""))).alias("symbol_ref"))

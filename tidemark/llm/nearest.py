@@ -31,13 +31,15 @@ def nearest(left: DataFrame, right: DataFrame, entity: str, left_time: Column, r
     """``left`` with ``nearest``: the time of the nearest right row of the entity within ``tolerance``, null if none.
 
     Times are whole numbers (days, seconds). Nulls in an entity or time match nothing; repeated right rows count
-    once; repeated left rows stay. Both sides meet in an equi-join on (entity, bin), with bins as wide as the
+    once; repeated left rows stay; a left column of the name ``nearest`` is replaced. Both sides meet in an equi-join on (entity, bin), with bins as wide as the
     longest interval, so that an interval lies in at most two bins and no range of times is compared across them.
     """
     t = right.select(right_entity.alias("entity"), right_time.cast("long").alias("t")).where("entity IS NOT NULL AND t IS NOT NULL").distinct()
     width = 2 * tolerance + 1
-    spans = nearest_intervals(t, tolerance).withColumn("__bin", F.explode(F.expr(f"sequence(floor(lo / {width}), floor(hi / {width}))")))
+    spans = nearest_intervals(t, tolerance).select(
+        F.col("entity").alias("__entity"), F.col("t").alias("__nearest"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.explode(F.expr(f"sequence(floor(lo / {width}), floor(hi / {width}))")).alias("__rbin")
+    )
+    kept = [c for c in left.columns if c != "nearest"]
     l = left.withColumn("__t", left_time.cast("long")).withColumn("__bin", F.floor(F.col("__t") / width))
-    r = spans.select(F.col("entity").alias("__entity"), F.col("__bin").alias("__rbin"), F.col("t").alias("nearest"), "lo", "hi")
-    joined = l.join(r, (F.col(entity) == F.col("__entity")) & (F.col("__bin") == F.col("__rbin")) & F.col("__t").between(F.col("lo"), F.col("hi")), "left")
-    return joined.select(*(F.col(f"`{c}`") for c in left.columns), "nearest")
+    joined = l.join(spans, (F.col(f"`{entity}`") == F.col("__entity")) & (F.col("__bin") == F.col("__rbin")) & F.col("__t").between(F.col("__lo"), F.col("__hi")), "left")
+    return joined.select(*(F.col(f"`{c}`") for c in kept), F.col("__nearest").alias("nearest"))
