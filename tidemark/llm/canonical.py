@@ -145,6 +145,6 @@ def map_column(df: DataFrame, column: str, reference: DataFrame, symbol: str, na
     present = F.length(strip(column)) > 0
     values = df.select(F.col(column).alias("value")).where(F.length(strip("value")) > 0).groupBy("value").count()
     values = values.join(literal, F.col("value") == F.col("__v"), "left_anti").select("value")
-    found = match_values(values, reference, symbol, name).select(F.col("value").alias("__value"), "symbol_ref")
+    found = match_values(values, reference, symbol, name).select(F.col("value").alias("__value"), F.col("symbol_ref").alias("__ref"))
     joined = df.join(literal, F.col(column) == F.col("__v"), "left").join(found, F.col(column) == F.col("__value"), "left")
-    return joined.select(*(F.col(f"`{c}`") for c in df.columns if c != "symbol_ref"), F.when(present, F.coalesce("__literal", "symbol_ref", F.lit(""))).alias("symbol_ref"))
+    return joined.select(*(F.col(f"`{c}`") for c in df.columns if c != "symbol_ref"), F.when(present, F.coalesce("__literal", "__ref", F.lit(""))).alias("symbol_ref"))
