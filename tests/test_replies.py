@@ -61,3 +61,18 @@ def test_annotate_and_explode(spark):
     assert [r["id"] for r in replies.without_reply(docs, notes).collect()] == ["b"]
     aliases = spark.createDataFrame([(" x ", "y"), ("", "z"), ("q", None)], "raw string, normalized string")
     assert {r["symbol"] for r in replies.apply_aliases(replies.explode_mentions(both), "symbol", aliases).collect()} == {"Y"}
+
+
+def test_earlier_dialects(spark):
+    both = {"symbol": "x", "label": "bullish", "sentiment_label": "negative", "score": 1, "sentiment_score": 2}
+    line = envelope([item("a", is_forward="maybe", tickers=[both])])
+    t = parse(spark, [line], version="v2")["a"]
+    assert (t["ticker_items"][0]["sentiment_label"], t["ticker_items"][0]["sentiment_score"], t["is_forward"]) == ("positive", 1.0, False)
+    t = parse(spark, [line], version="v3")["a"]
+    assert (t["ticker_items"][0]["sentiment_label"], t["ticker_items"][0]["sentiment_score"]) == ("negative", 2.0)
+    assert parse(spark, [line])["a"]["is_forward"] is None
+    assert set(parse(spark, [envelope([{"id": "z", "tickers": []}])], version="v3")) == {"z"}
+    full = {"symbol": "abc", "sentiment_label": "positive", "sentiment_score": "0.5", "confidence": 1}
+    good, bad = item("g", tickers=[full]), item("b", tickers=[full | {"confidence": None}])
+    assert set(parse(spark, [envelope({"results": [good]}), envelope({"results": [good | {"submission_id": "h"}, bad]})], version="v1")) == {"g"}
+    assert parse(spark, [envelope({"results": [good]})], version="v1")["g"]["ticker_items"][0]["symbol"] == "abc"

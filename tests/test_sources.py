@@ -90,6 +90,25 @@ def test_numbering_without_a_single_task(spark):
     assert got == {i: i for i in range(1000)}
 
 
+def test_numbering_within_groups_of_any_size(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 500).alias("x")).select("x", F.when(F.col("x") % 7 == 0, None).when(F.col("x") < 400, "hot").otherwise("b").alias("g"))
+    rows = requests.numbered_within(df, ["g"], ["x"], 16).collect()
+    for g in ("hot", "b", None):
+        mine = sorted((r["x"], r["pos"], r["chunk"]) for r in rows if r["g"] == g)
+        assert [(p, c) for _, p, c in mine] == [(i, i // 16) for i in range(len(mine))]
+
+
+def test_earlier_request_forms(spark):
+    docs = spark.createDataFrame([(dt.date(2025, 1, 1), f"d{i:02d}", i, " text " if i else "", "t3_p", None) for i in range(18)], "day date, id string, created_utc bigint, text string, link_id string, context string")
+    forms = {v: requests.grouped_requests(docs, "rc", v).orderBy("chunk").collect() for v in ("v1", "v2", "v3")}
+    assert {v: [r["docs"] for r in rs] for v, rs in forms.items()} == {"v1": [16, 2], "v2": [16, 1], "v3": [16, 1]}
+    assert [r["custom_id"] for r in forms["v1"]] == ["2025-01-01_d00", "2025-01-01_d16"] and forms["v2"][1]["custom_id"] == "rc:2025-01-01:d17:0001"
+    content = lambda r: json.loads(r["line"])["body"]["input"][1]["content"].split("\n", 2)
+    assert json.loads(content(forms["v3"][1])[2]) == {"kind": "comment", "comment_id": "d17", "submission_id": "p", "comment_text": "text", "submission_text": ""}
+    assert json.loads(content(forms["v2"][1])[2])["user"] == "id=d17\nallow_etf=false\ntext:\n text "
+    assert requests.grouped_requests(docs.limit(0), "rc", "v3").count() == 0
+
+
 def test_prices_are_retried_one_by_one():
     class Source:
         def __init__(self):

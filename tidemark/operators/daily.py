@@ -67,3 +67,10 @@ def daily_features(mentions: DataFrame) -> DataFrame:
         .withColumn("user_concentration", F.try_divide("unique_authors", "chatter_count"))
     )
     return base.join(dominant_asset(mentions), KEY, "left").join(subreddit_entropy(mentions), KEY, "left")
+
+
+#: The columns of the first version of the table.
+FIRST_VERSION = [
+    "day", "symbol", "chatter_count", "sent_mean", "avg_conf", "median_conf", "score_sum", "score_mean", "comments_sum", "comments_mean",
+    "unique_authors", "sent_weighted", "engagement_sum", "engagement_mean", "user_concentration", "subreddit_entropy",
+]

@@ -86,6 +86,8 @@ LAGGED = (
     "chatter_count", "unique_authors", "user_concentration", "sent_mean", "sent_weighted", "avg_conf", "median_conf", "engagement_sum",
     "comments_sum", "score_sum", "subreddit_entropy", "forward_true_count", "forward_share", "value_mean", "value_median",
 )
+#: The narrower families of the first version of the table.
+FIRST_LAGGED, FIRST_SUMMED, FIRST_AVERAGED = LAGGED[:11], ("chatter_count", "engagement_sum"), ("sent_mean", "sent_weighted")
 SUMMED = ("chatter_count", "engagement_sum", "forward_true_count")
 AVERAGED = ("sent_mean", "sent_weighted", "avg_conf", "median_conf", "forward_share", "value_mean")
 DELTAS = {"delta_chatter": "chatter_count", "delta_sent_mean": "sent_mean", "delta_engagement_sum": "engagement_sum"}
@@ -124,15 +126,16 @@ def targets(price: str = "Adj Close") -> dict[str, Column]:
     return out | {f"fwd_ret{h}": F.try_divide(F.lead(p, h).over(by_day()), p) - 1 for h in (1, 2, 5)}
 
 
-def enrich(merged: DataFrame, steps: Sequence[int] = (1, 2, 3), windows: Sequence[int] = (3, 7, 14, 30), with_targets: bool = True, scope: str = "history") -> DataFrame:
+def enrich(merged: DataFrame, steps: Sequence[int] = (1, 2, 3), windows: Sequence[int] = (3, 7, 14, 30), with_targets: bool = True, scope: str = "history", first_version: bool = False) -> DataFrame:
     """All lagged, rolling, market and forward features; frames are rows of one symbol in the order of days.
 
     Every window shares one partitioning and order, so there is one exchange and one sort. ``scope='partition'`` keeps
-    each day by itself (all lags null), as a run over single-day partitions would.
+    each day by itself (all lags null), as a run over single-day partitions would. ``first_version`` has fewer families.
     """
-    extra = lags(LAGGED, steps) | rolls(SUMMED, AVERAGED, windows) | market_rolls() | deltas() | momentum() | (targets() if with_targets else {})
+    lagged, summed, averaged = (FIRST_LAGGED, FIRST_SUMMED, FIRST_AVERAGED) if first_version else (LAGGED, SUMMED, AVERAGED)
+    extra = lags(lagged, steps) | rolls(summed, averaged, windows) | market_rolls() | deltas() | momentum() | (targets() if with_targets else {})
     if scope == "partition":
         null_ = [n for n in extra if "_lag" in n or n.startswith(("delta_", "ret1_lead", "fwd_ret", "ret1_roll", "vol_roll", "rel_volume")) or n == "momentum_5"]
-        alone = {f"{c}_roll{n}_{label}": F.col(c) for n in windows for cols, label in ((SUMMED, "sum"), (AVERAGED, "mean")) for c in cols}
+        alone = {f"{c}_roll{n}_{label}": F.col(c) for n in windows for cols, label in ((summed, "sum"), (averaged, "mean")) for c in cols}
         extra = extra | alone | {n: F.lit(None).cast("double") for n in null_}
     return merged.withColumns(extra)

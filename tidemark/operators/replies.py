@@ -7,6 +7,8 @@ of the wrong shape are skipped, never fatal.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,30 @@ from tidemark.functions.keys import symbol_key
 TICKER = "array<struct<symbol: string, asset_type: string, sentiment_label: string, sentiment_score: double, conf: double>>"
 
 
+@dataclass(frozen=True)
+class Dialect:
+    """How a version of the reply form is read: field names in the order of precedence, document keys, and defaults."""
+
+    label: tuple[str, ...] = ("sentiment_label", "label", "sentiment")
+    score: tuple[str, ...] = ("sentiment_score", "score")
+    conf: tuple[str, ...] = ("conf", "confidence")
+    posts: tuple[str, ...] = ("submission_id",)
+    comments: tuple[str, ...] = ("comment_id",)
+    status: tuple[str, ...] = ("response.body.status",)
+    asset_types: bool = True
+    unknown_forward: bool | None = None
+    posts_exclude_comments: bool = True
+    strict: bool = False
+
+
+DIALECTS = {
+    "v1": Dialect(label=("sentiment_label",), score=("sentiment_score",), conf=("confidence",), comments=("submission_id",), status=(), asset_types=False, posts_exclude_comments=False, strict=True),
+    "v2": Dialect(label=("label", "sentiment_label"), score=("score", "sentiment_score"), comments=("submission_id",), status=("response.status", "response.body.status"), asset_types=False, unknown_forward=False, posts_exclude_comments=False),
+    "v3": Dialect(posts=("submission_id", "id"), comments=("comment_id", "submission_id", "id"), asset_types=False, unknown_forward=False, posts_exclude_comments=False),
+    "v4": Dialect(),
+}
+
+
 def at(v: Column, path: str) -> Column:
     """The variant at a path: null where the key is absent, a variant null where it holds null."""
     return F.try_variant_get(v, path, "variant")
@@ -38,13 +64,16 @@ def number_at(v: Column, *paths: str) -> Column:
     return F.when(kind.rlike("^(STRING|BOOLEAN|BIGINT|DOUBLE|FLOAT|DECIMAL)") & ~F.isnan(plain), plain)
 
 
-def reply_text(line: Column) -> Column:
+def reply_text(line: Column, dialect: Dialect = DIALECTS["v4"]) -> Column:
     """The text of a reply line: from the body, else the short form, else the bare output; null if it did not complete."""
     v = F.try_parse_json(line)
-    status = string_at(v, "$.response.body.status")
     short = string_at(v, "$.response.output_text")
     found = F.coalesce(string_at(v, "$.response.body.output[0].content[0].text"), F.when(F.length(F.trim(short)) > 0, short), string_at(v, "$.response.output[0].content[0].text"))
-    return F.when(status.isNull() | status.isin("", "completed"), found)
+    ended = F.lit(True)
+    for path in dialect.status:
+        status = string_at(v, f"$.{path}")
+        ended = ended & (status.isNull() | status.isin("", "completed"))
+    return F.when(ended, found)
 
 
 def reply_items(text: Column) -> Column:
@@ -58,51 +87,65 @@ def reply_items(text: Column) -> Column:
     )
 
 
-def ticker(t: Column) -> Column:
+def ticker(t: Column, dialect: Dialect = DIALECTS["v4"]) -> Column:
     """A normalised mention of an item; null without a symbol."""
-    name = F.coalesce(F.nullif(string_at(t, "$.symbol"), F.lit("")), string_at(t, "$.ticker"))
-    symbol = symbol_key(name)
-    label = F.coalesce(at(t, "$.sentiment_label"), at(t, "$.label"), at(t, "$.sentiment"))
+    name = string_at(t, "$.symbol") if dialect.strict else F.coalesce(F.nullif(string_at(t, "$.symbol"), F.lit("")), string_at(t, "$.ticker"))
+    symbol = name if dialect.strict else symbol_key(name)
+    label = F.coalesce(*(at(t, f"$.{k}") for k in dialect.label))
     text = F.try_variant_get(label, "$", "string")
+    known = text if dialect.strict else F.when(kind_of(label) == "STRING", coerce.sentiment_label(text)).otherwise(text)
     return F.when(
         symbol.isNotNull(),
         F.struct(
             symbol.alias("symbol"),
-            coerce.asset_type(string_at(t, "$.asset_type")).alias("asset_type"),
-            F.when(kind_of(label) == "STRING", coerce.sentiment_label(text)).otherwise(text).alias("sentiment_label"),
-            number_at(t, "$.sentiment_score", "$.score").alias("sentiment_score"),
-            number_at(t, "$.conf", "$.confidence").alias("conf"),
+            (coerce.asset_type(string_at(t, "$.asset_type")) if dialect.asset_types else F.lit(None).cast("string")).alias("asset_type"),
+            known.alias("sentiment_label"),
+            number_at(t, *(f"$.{k}" for k in dialect.score)).alias("sentiment_score"),
+            number_at(t, *(f"$.{k}" for k in dialect.conf)).alias("conf"),
         ),
     )
 
 
-def is_forward(v: Column) -> Column:
-    """true/false, also in the usual spellings as text; everything else is null."""
+def is_forward(v: Column, dialect: Dialect = DIALECTS["v4"]) -> Column:
+    """true/false, also in the usual spellings as text; other text is the dialect's default, everything else null."""
     x = at(v, "$.is_forward")
-    return F.when(kind_of(x) == "BOOLEAN", F.try_variant_get(x, "$", "boolean")).when(kind_of(x) == "STRING", coerce.tri_state(F.try_variant_get(x, "$", "string")))
+    spelt = coerce.tri_state(F.try_variant_get(x, "$", "string"))
+    return F.when(kind_of(x) == "BOOLEAN", F.try_variant_get(x, "$", "boolean")).when(kind_of(x) == "STRING", spelt if dialect.unknown_forward is None else F.coalesce(spelt, F.lit(dialect.unknown_forward)))
 
 
-def annotations(lines: DataFrame, kind: str, comment_items_too: bool = False) -> DataFrame:
+def tickers_of(it: Column) -> Column:
+    return F.coalesce(F.try_variant_get(it, "$.tickers", "array<variant>"), F.array().cast("array<variant>"))
+
+
+def well_formed(it: Column) -> Column:
+    """Whether an item has every field that the strict form asks for, with values that fit."""
+    full = lambda t: string_at(t, "$.symbol").isNotNull() & string_at(t, "$.sentiment_label").isNotNull() & number_at(t, "$.sentiment_score").isNotNull() & number_at(t, "$.confidence").isNotNull()
+    return F.coalesce(string_at(it, "$.submission_id").isNotNull() & F.try_variant_get(it, "$.tickers", "array<variant>").isNotNull() & F.forall(tickers_of(it), full), F.lit(False))
+
+
+def annotations(lines: DataFrame, kind: str, comment_items_too: bool = False, version: str = "v4") -> DataFrame:
     """(id, ticker_items, is_forward, value_score) per document from reply lines (file, line_no, line).
 
-    ``kind`` 'rs' takes items by submission_id and leaves out those of comments, unless ``comment_items_too``; 'rc'
-    takes items by comment_id. Of several items of a document the last in the order of (file, line, position) wins.
+    ``kind`` 'rs' takes items by their post, 'rc' by their comment, under the keys of the version's dialect; in v4 items
+    that also name a comment are none of the post, unless ``comment_items_too``. Of several items of a document the last
+    in the order of (file, line, position) wins. In v1 one malformed item voids its whole reply.
     """
-    items = (
-        lines.select("file", "line_no", F.explode(F.array(reply_text(F.col("line")))).alias("text"))
-        .where(F.length("text") > 0)
-        .select("file", "line_no", F.posexplode(reply_items(F.col("text"))).alias("pos", "it"))
-    )
-    sid = F.trim(F.try_variant_get("it", "$.submission_id", "string"))
-    cid = F.trim(F.try_variant_get("it", "$.comment_id", "string"))
-    keyed = items.withColumn("id", F.nullif(sid if kind == "rs" else cid, F.lit(""))).where("id IS NOT NULL")
-    if kind == "rs" and not comment_items_too:
-        keyed = keyed.where(cid.isNull())
-    raw = F.coalesce(F.try_variant_get("it", "$.tickers", "array<variant>"), F.array().cast("array<variant>"))
+    dialect = DIALECTS[version]
+    # a generator keeps a parsed value from being computed anew wherever it is used
+    texts = lines.select("file", "line_no", F.explode(F.array(reply_text(F.col("line"), dialect))).alias("text")).where(F.length("text") > 0)
+    whole = texts.select("file", "line_no", F.explode(F.array(reply_items(F.col("text")))).alias("items"))
+    if dialect.strict:
+        whole = whole.where(F.forall("items", well_formed))
+    items = whole.select("file", "line_no", F.posexplode("items").alias("pos", "it"))
+    named = [F.nullif(F.trim(F.try_variant_get("it", f"$.{k}", "string")), F.lit("")) for k in (dialect.posts if kind == "rs" else dialect.comments)]
+    keyed = items.withColumn("id", F.coalesce(*named)).where("id IS NOT NULL")
+    if kind == "rs" and dialect.posts_exclude_comments and not comment_items_too:
+        keyed = keyed.where(F.try_variant_get("it", "$.comment_id", "string").isNull())
+    mentions = F.filter(F.transform(tickers_of(F.col("it")), lambda t: ticker(t, dialect)), lambda t: t.isNotNull()).cast(TICKER)
     typed = keyed.select(
         "id",
         F.struct("file", "line_no", "pos").alias("place"),
-        F.struct(F.filter(F.transform(raw, ticker), lambda t: t.isNotNull()).cast(TICKER).alias("ticker_items"), is_forward(F.col("it")).alias("is_forward"), number_at(F.col("it"), "$.value_score").alias("value_score")).alias("a"),
+        F.struct(mentions.alias("ticker_items"), is_forward(F.col("it"), dialect).alias("is_forward"), number_at(F.col("it"), "$.value_score").alias("value_score")).alias("a"),
     )
     return typed.groupBy("id").agg(F.max_by("a", "place").alias("a")).select("id", "a.*")
 

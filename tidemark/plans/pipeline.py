@@ -500,3 +500,37 @@ def ingest_jsonl(spark: SparkSession, d: str) -> DataFrame:
     s = table(spark, d, "submissions").drop("batch_no", "arrived_at")
     lines = s.select(F.to_json(F.struct(*s.columns)).alias("line"))
     return readers.parse_records(lines, "rs").select("id", "created_utc", "title", "selftext", "score", "over_18", "day")
+
+
+# ---- earlier versions of requests, replies and features
+
+
+_CONTEXT = f"ctx AS (SELECT c.id, c.day, c.created_utc, c.text, coalesce(p.text, '') AS context FROM rc c LEFT JOIN rs p ON p.day = c.day AND {_BARE.format('p.id')} = {_BARE.format('c.link_id')})"
+
+
+@query(f"""WITH {_THREADS}, {_CONTEXT} SELECT day, chunk, count(*)::INTEGER AS docs, format('rc:{{}}:{{}}:{{:04d}}', day, arg_min(id, rn), chunk) AS custom_id, string_agg(id, ',' ORDER BY rn) AS ids
+    FROM (SELECT *, ((rn - 1) // 16)::INTEGER AS chunk FROM (SELECT day, id, row_number() OVER (PARTITION BY day ORDER BY created_utc, id) AS rn FROM ctx WHERE length({_STRIP.format('substr(text, 1, 1500)')}) >= 5)) GROUP BY day, chunk""")
+def request_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Comments of a day with their posts' texts, sixteen to a request."""
+    posts, comments = _threads(spark, d)
+    r = requests.grouped_requests(requests.with_context(comments, posts), "rc", "v3", least_chars=5)
+    lines = F.split(F.element_at(F.split(F.get_json_object("line", "$.body.input[1].content"), "BEGIN_INPUTS:\n", 2), 2), "\n")
+    return r.select("day", "chunk", "docs", "custom_id", F.array_join(F.transform(lines, lambda x: F.get_json_object(x, "$.comment_id")), ",").alias("ids"))
+
+
+@query(f"WITH {_notes('comment')} SELECT id, symbol, {_LABEL} AS sentiment_label, round(sentiment_score, 10) AS sentiment_score, coalesce(is_forward, false) AS forward FROM notes WHERE symbol IS NOT NULL")
+def parse_replies_earlier(spark: SparkSession, d: str) -> DataFrame:
+    """Replies in the third dialect: comments by comment_id, no asset types."""
+    notes = replies.annotations(_reply_lines(spark, d, "comment"), "rc", version="v3")
+    return rounded(notes.select("id", F.explode("ticker_items").alias("t"), F.coalesce("is_forward", F.lit(False)).alias("forward")).select("id", "t.symbol", "t.sentiment_label", "t.sentiment_score", "forward"))
+
+
+@query(f"WITH {_DAILY} SELECT day, symbol, chatter_count, unique_authors, {_round([c for c in daily.FIRST_VERSION if c in _WIDE])} FROM features")
+def daily_features_first(spark: SparkSession, d: str) -> DataFrame:
+    return rounded(daily.daily_features(_mentions(spark, d)).select(*daily.FIRST_VERSION))
+
+
+@query("SELECT day, symbol, field, round(value, 10) AS value FROM (UNPIVOT (SELECT day, symbol, \"Open\", \"High\", \"Low\", \"Close\" FROM prices) ON \"Open\", \"High\", \"Low\", \"Close\" INTO NAME field VALUE value) WHERE value IS NOT NULL")
+def wide_to_long(spark: SparkSession, d: str) -> DataFrame:
+    p = table(spark, d, "prices").select("day", "symbol", "Open", "High", "Low", "Close")
+    return rounded(p.unpivot(["day", "symbol"], ["Open", "High", "Low", "Close"], "field", "value").where("value IS NOT NULL"))
