@@ -18,12 +18,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import smallest_hashes
+
 #: Hashed feature space, and the lines of either label that take part in fitting (those with the smallest hashes).
 BITS = 17
 SAMPLE_LINES = {1: 8_000, 0: 24_000}
 #: Longer lines are judged like all others but not chosen for fitting.
 SAMPLE_CHARS = 4_000
-PENALTIES = (1e-6, 1e-5, 1e-4)
+PENALTIES = (1e-6, 1e-5)
 STEPS = 150
 #: Share of the loss that the residue lines have; the rest goes to the far more frequent other lines.
 RESIDUE_WEIGHT = 0.3
@@ -112,7 +114,7 @@ def fit_weights(rows: list[np.ndarray], y: np.ndarray, penalty: float) -> tuple[
 
 
 def fit(lines: list[tuple[str, str | None, int]]) -> Linear:
-    """The classifier of (line, host, label), with the penalty that does best on a fifth of the hosts."""
+    """The classifier of (line, host, label), fitted to all hosts with the penalty that does best on an unseen fifth of them."""
     rows = [features(x) for x, _, _ in lines]
     y = np.array([label for *_, label in lines], dtype=float)
     unseen = np.array([zlib.crc32((h or "").encode()) % 5 == 0 for _, h, _ in lines], dtype=bool)
@@ -133,15 +135,19 @@ def fit(lines: list[tuple[str, str | None, int]]) -> Linear:
         model.holdout = {"lines": len(test), "precision": float(hit / max(1, (z > 0).sum())), "recall": float(hit / max(1, truth.sum())), "loss": float(np.mean(np.logaddexp(0, np.where(truth, -z, z))))}
         if best is None or model.holdout["loss"] < best.holdout["loss"]:
             best = model
-    return best
+    w, b = fit_weights(rows, y, best.penalty)
+    return Linear(w, b, best.penalty, best.holdout)
 
 
 def labelled_lines(docs: DataFrame, text: str, host: str) -> list[tuple[str, str | None, int]]:
-    """At most SAMPLE_LINES distinct lines of either weak label, the same ones however the rows are spread."""
-    weak = "|".join(f"(?:{p})" for p in STATUS + PHRASE)
-    lines = docs.select(F.col(host).alias("host"), F.explode(F.split(text, r"[\r\n]+")).alias("line")).where("length(trim(line)) > 0").where(F.length("line") <= SAMPLE_CHARS)
-    once = lines.groupBy("line").agg(F.min("host").alias("host")).withColumn("label", F.col("line").rlike(weak).cast("int")).withColumn("h", F.xxhash64("line"))
-    return [tuple(r) for label, most in SAMPLE_LINES.items() for r in once.where(F.col("label") == label).orderBy("h", "line").limit(most).select("line", "host", "label").collect()]
+    """At most SAMPLE_LINES distinct lines of either weak label, the same ones however the rows are spread.
+
+    Residue is rare, so all lines that carry its label are compared; of the others a range of hashes is.
+    """
+    weak = F.col("line").rlike("|".join(f"(?:{p})" for p in STATUS + PHRASE))
+    lines = docs.select(F.explode(F.split(text, r"[\r\n]+")).alias("line"), F.col(host).alias("host")).where("length(trim(line)) > 0").where(F.length("line") <= SAMPLE_CHARS)
+    drawn = [(1, smallest_hashes(lines.where(weak), "line", SAMPLE_LINES[1], 0)), (0, smallest_hashes(lines, "line", SAMPLE_LINES[0], docs.count()).where(~weak))]
+    return [(r["line"], r["host"], label) for label, found in drawn for r in found.collect()]
 
 
 def find_residue(docs: DataFrame, text: str, host: str) -> DataFrame:
