@@ -31,14 +31,20 @@ def build_session(master: str = "local[8]", name: str = "tidemark", **conf: str)
     return builder.getOrCreate()
 
 
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
     where = spark.conf.get("spark.checkpoint.dir", None)
-    if where is None:
-        where = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", where)
-        atexit.register(shutil.rmtree, where.removeprefix("file://"), ignore_errors=True)
-    return where
+    if where:
+        return where
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        _own[app] = f"file://{folder}"
+    return _own[app]
 
 
 class Workspace:
