@@ -159,16 +159,15 @@ def filed(vecs: DataFrame) -> DataFrame:
 
 
 class History:
-    """Accepted texts: their cells, their vectors and words by class, and their ids; all persisted in the workspace."""
+    """Accepted texts: their cells, and their vectors and words by class; all persisted in the workspace."""
 
     def __init__(self, ws: Workspace):
         self.ws = ws
         self.cells: list[DataFrame] = []
         self.classes: list[DataFrame] = []
-        self.members: list[DataFrame] = []
 
     def matches(self, new: DataFrame) -> DataFrame:
-        """(class, accepted): the accepted classes that the classes of ``new`` (a batch of ``vectors``) repeat."""
+        """(class, batch, accepted, accepted_batch): the accepted classes that the classes of ``new`` (a batch of ``vectors``) repeat."""
         q, x = filed(new).alias("q"), self.ws.read(self.cells).alias("x")
         most = F.greatest("q.size", "x.size")
         need = F.ceil(most * SHARE - 1e-9)
@@ -182,37 +181,32 @@ class History:
             .select(F.col("q.vid").alias("vid"), F.col("x.vid").alias("met"))
             .distinct()
         )
-        left = new.select("vid", "class", F.col("words").alias("qw"), F.col("vector").alias("qv"))
-        right = self.ws.read(self.classes).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("words").alias("xw"), F.col("vector").alias("xv"))
+        left = new.select("vid", "class", "batch", F.col("words").alias("qw"), F.col("vector").alias("qv"))
+        right = self.ws.read(self.classes).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("batch").alias("accepted_batch"), F.col("words").alias("xw"), F.col("vector").alias("xv"))
         near = met.join(left, "vid").join(right, "met").where(F.size(F.array_intersect("qv", "xv")) >= F.greatest(F.size("qv"), F.size("xv")) * SHARE - 1e-9)
 
         @F.pandas_udf("boolean")
         def same(a: pd.Series, b: pd.Series) -> pd.Series:
             return pd.Series([repeats(x.split(" "), y.split(" ")) for x, y in zip(a, b)], dtype=bool)
 
-        return near.where(same("qw", "xw")).select("class", "accepted")
+        return near.where(same("qw", "xw")).select("class", "batch", "accepted", "accepted_batch")
 
-    def ingest(self, texts: DataFrame) -> DataFrame | None:
-        """Pairs (id_new, id_old) of a batch of ``vectors`` with what was accepted before; the rest is accepted.
+    def ingest(self, new: DataFrame) -> DataFrame | None:
+        """What a batch of ``vectors`` (one row per class) repeats, see ``matches``; the rest of it is accepted.
 
         Texts of one batch are not compared with each other, rejected ones not kept.
         """
-        new = texts.drop("id", "batch").dropDuplicates(["class"])
-        ids = texts.select("id", "class")
         if not self.cells:
-            self.append(new, ids)
+            self.append(new)
             return None
-        hits, _ = self.ws.save(self.matches(new), "hits")
-        rejected = hits.select("class").distinct()
-        pairs = ids.join(hits, "class").join(self.ws.read(self.members).select(F.col("id").alias("id_old"), F.col("class").alias("accepted")), "accepted").select(F.col("id").alias("id_new"), "id_old")
-        self.append(new.join(rejected, "class", "left_anti"), ids.join(rejected, "class", "left_anti"))
-        return pairs
+        hits, n = self.ws.save(self.matches(new), "hits")
+        self.append(new.join(hits.select("class").distinct(), "class", "left_anti") if n else new)
+        return hits if n else None
 
-    def append(self, new: DataFrame, ids: DataFrame) -> None:
+    def append(self, new: DataFrame) -> None:
         stored, _ = self.ws.save(new, "classes")
         self.classes.append(stored)
         self.cells.append(self.ws.save(filed(stored), "cells")[0])
-        self.members.append(self.ws.save(ids, "members")[0])
 
 
 def repeated_records(records: DataFrame, ws: Workspace) -> DataFrame:
@@ -235,13 +229,14 @@ def repeated_records(records: DataFrame, ws: Workspace) -> DataFrame:
         return again
     batches = sorted(r[0] for r in texts.select("batch").distinct().collect())
     kind = comparable.select("kind").limit(1).collect()[0][0]
-    vecs, _ = ws.save(vectors(texts, frequencies(texts.where(F.col("batch") == batches[0]))), "vectors")
-    history, found = History(ws), []
-    for b in batches:
-        pairs = history.ingest(vecs.where(F.col("batch") == b))
-        if pairs is not None:
-            found.append(ws.save(pairs, "pairs")[0])
+    classes = texts.groupBy("batch", "class").agg(F.min("words").alias("words"))
+    vecs, _ = ws.save(vectors(classes, frequencies(texts.where(F.col("batch") == batches[0]))), "vectors", partition_by="batch")
+    history = History(ws)
+    found = [hits for b in batches if (hits := history.ingest(vecs.where(F.col("batch") == b))) is not None]
     if not found:
         return again
-    near = ws.read(found).select(F.lit(kind).alias("kind"), F.least("id_new", "id_old").alias("id_a"), F.greatest("id_new", "id_old").alias("id_b"))
-    return again.unionByName(near).distinct()
+    members = texts.select("id", "class", "batch")
+    old = members.select(F.col("id").alias("id_old"), F.col("class").alias("accepted"), F.col("batch").alias("accepted_batch"))
+    near = ws.read(found).join(members, ["class", "batch"]).join(old, ["accepted", "accepted_batch"])
+    pairs = near.select(F.lit(kind).alias("kind"), F.least("id", "id_old").alias("id_a"), F.greatest("id", "id_old").alias("id_b"))
+    return again.unionByName(pairs).distinct()
