@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.sampling import smallest_hashes
+
 STATES = ("prose", "list", "table", "junk")
 #: Texts on which the model is fitted: those with the smallest hashes, never more; longer ones than SAMPLE_CHARS are not chosen.
 SAMPLE_TEXTS = 6_000
@@ -240,9 +242,10 @@ RESULT = "chars int, words int, mean_word_length double, symbol_ratio double, cl
 
 
 def sample(df: DataFrame, text: Column, least_chars: int) -> list[str]:
-    """At most SAMPLE_TEXTS texts, those with the smallest hashes (the same ones however the rows are spread)."""
-    texts = df.select(text.alias("t")).where(F.length("t").between(least_chars, SAMPLE_CHARS))
-    return [r[0] for r in texts.select("t", F.xxhash64("t").alias("h")).orderBy("h", "t").limit(SAMPLE_TEXTS).select("t").collect()]
+    """At most SAMPLE_TEXTS distinct texts, those with the smallest hashes (the same ones however the rows are spread)."""
+    texts = df.select(text.alias("t"))
+    fit = texts.where(F.length("t").between(least_chars, SAMPLE_CHARS))
+    return [r[0] for r in smallest_hashes(fit, "t", SAMPLE_TEXTS, texts.count()).collect()]
 
 
 def text_quality(df: DataFrame, text: Column, least_chars: int = 40, counts: bool = True) -> DataFrame:
