@@ -20,9 +20,13 @@ def _days(c: str):
     return F.expr(f"datediff({c}, {EPOCH})")
 
 
+#: Blank, removed or deleted; the pattern gives up at the first character of any other text.
+GONE = r"(?iU)^[\s\p{Z}\p{Cf}]*(?:\[(?:removed|deleted)\])?[\s\p{Z}\p{Cf}]*$"
+
+
 def _texts(spark: SparkSession, d: str) -> DataFrame:
     """(kind, id, text) of each delivered submission and comment; removed and blank bodies have null texts."""
-    gone = lambda c: F.coalesce(F.lower(strip(c)), F.lit("")).isin("", "[removed]", "[deleted]")
+    gone = lambda c: F.coalesce(F.col(c).rlike(GONE), F.lit(True))
     title = F.coalesce("title", F.lit(""))
     posts = table(spark, d, "submissions").select(F.lit("submission").alias("kind"), "id", F.when(gone("selftext"), title).otherwise(F.concat(title, F.lit("\n\n"), "selftext")).alias("text"))
     replies = table(spark, d, "comments").select(F.lit("comment").alias("kind"), "id", F.when(~gone("body"), F.col("body")).alias("text"))
@@ -36,8 +40,8 @@ def p2_quality(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """(kind, id) of the texts of 40 characters or more that are, by the greater part, no running prose."""
-    judged = quality.text_quality(_texts(spark, d).where(F.length(strip("text")) >= 40), F.col("text"), counts=False)
-    return judged.where("quality.prose < 0.5").select("kind", "id").distinct()
+    judged = quality.text_quality(_texts(spark, d).where(F.length("text") >= 40), F.col("text"), counts=False)
+    return judged.where("quality.prose < 0.5").where(F.length(strip("text")) >= 40).select("kind", "id").distinct()
 
 
 def p5_mapped(spark: SparkSession, d: str) -> DataFrame:
