@@ -51,6 +51,7 @@ def records(rnd):
             words = edited(rnd, rnd.choice(base), rnd.choice([0, 3, 8, 14, 20, 30]))
             rows.append((f"c{b}{i:02d}", b, i, " ".join(words)))
     rows += [(f"same{b}", b, 0, " ".join(base[0])) for b in range(4)]
+    rows += [(f"twin{b}{i}", b, i, " ".join(edited(random.Random(9), base[1], 4 * b))) for b in (1, 2, 3) for i in range(12)]
     rows += [("c000", 2, 5, "other text"), ("c001", 0, 99, "late"), ("short", 1, 0, "a b c"), ("null", 1, 0, None), ("empty", 1, 0, ""), ("null", 3, 0, None)]
     rows += [("flat", 1, 0, "the " * 100), ("flat2", 2, 0, "the " * 100), (None, 1, 0, "x"), ("nobatch", None, 0, "x")]
     return rows
