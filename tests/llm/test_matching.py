@@ -25,6 +25,21 @@ def test_typed_values(spark):
     assert got[None] is None and got[""] is None and got["  "] is None
 
 
+def named(spark, entries, cases):
+    """What each value of the cases is mapped to."""
+    ref, df = spark.createDataFrame(entries, "symbol string, name string"), spark.createDataFrame([(v,) for v in cases], "typed string")
+    return {r["typed"]: r["symbol_ref"] for r in canonical.map_column(df, "typed", ref, "symbol", "name").collect()}
+
+
+def test_entries_listed_under_context_words(spark):
+    cases = {
+        "UK shares": "UK", "UK Equity": "UK", "MERI:UK": "UK", "UK:nord": "UK", "UK.US": "UK", "UK@EAST": "UK", "U K": "UK", "the u k stock": "UK", "the UK shares": "UK", "uk": "UK",
+        "MA UK": "MA", "talnixs UK": "ABXQF", "Talnixis Mobility UK": "ABXQF", "US shares": "", "the ordinary share": "", "US": "",
+        "se shares": "SE", "Quamadarix SE": "QXM.B", "the stock": "", "all of the shares": "ALLS", "ALL": "ALLS",
+    }
+    assert named(spark, [*LIST, ("UK", "Bavazen Airways Group"), ("SE", "Zorvalix Steel"), ("ALLS", "All Lumber Inc"), ("STOCX", "Mirfirand Water")], cases) == cases
+
+
 def test_empty_tables(spark):
     ref, df = spark.createDataFrame(LIST, "symbol string, name string"), spark.createDataFrame([("x",)], "typed string")
     assert canonical.map_column(df.limit(0), "typed", ref, "symbol", "name").count() == 0

@@ -30,7 +30,7 @@ JOINED = 4
 #: Reference lists up to this many strings are broadcast; longer ones are joined by shuffles.
 BROADCAST_STRINGS = 100_000
 LEGAL_FORMS = frozenset("corp corporation holdings holding group co company ltd limited se plc inc incorporated ag sa nv llc lp gmbh".split())
-#: Words that stand around names; alone among others they name nothing.
+#: Words that stand around names; among others they name nothing, unless an entry is listed under one.
 CONTEXT = LEGAL_FORMS | frozenset("the a an of and or in on at to my all share shares stock stocks common equity ordinary us usd eu uk".split())
 WORD = re.compile(r"[^\W_]+")
 
@@ -40,7 +40,7 @@ def words_of(value: str) -> list[str]:
     return WORD.findall(unicodedata.normalize("NFKC", value).casefold())
 
 
-def candidates(value: str) -> list[str]:
+def candidates(value: str, context: frozenset[str]) -> list[str]:
     """The strings of a value that may name an entry: each word, up to JOINED consecutive ones in one, all in one, letters set apart."""
     words = words_of(value)
     found = {"".join(words)} | {"".join(words[i : i + n]) for n in range(1, JOINED + 1) for i in range(len(words) - n + 1)}
@@ -52,7 +52,7 @@ def candidates(value: str) -> list[str]:
             found.add(run)
             run = ""
     if len(words) > 1:
-        found -= CONTEXT
+        found -= context
     return sorted(found - {""})
 
 
@@ -96,23 +96,26 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     """(value, symbol_ref, kind, similarity) of the distinct non-blank values that stand for an entry.
 
     An exact string goes before a misspelt one, a longer one before a shorter; among equals the entry whose name is
-    closest to the whole value wins, then the smallest symbol. The reference list passes through the driver once, to
+    closest to the whole value wins, then the smallest symbol. An entry listed under a context word is named by it among
+    other words if these name none. The reference list passes through the driver once, to
     count its letter pairs.
     """
     spark = values.sparkSession
     ship(spark)
     entries = [(r[0], kind, s) for r in reference.select(symbol, name).where(F.col(symbol).isNotNull()).distinct().toLocalIterator() for kind, s in entry_strings(r[0], r[1])]
-    rarity = Counter(p for s in {s for *_, s in entries} for p in pairs_of(s))
+    listed = {s for *_, s in entries}
+    rarity = Counter(p for s in listed for p in pairs_of(s))
     cores = {sym: s for sym, kind, s in entries if kind == "core"}
     ref_rows = [(sym, kind, s, cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity, LOST_PAIRS if may_be_misspelt(kind, s) else 0)]
     index = spark.createDataFrame(ref_rows, "symbol_ref string, kind string, rs string, core string, rsize int, rpairs array<string>, pair string, rpos int")
     if len(entries) <= BROADCAST_STRINGS:
         index = F.broadcast(index)
+    context = CONTEXT - listed
     shared = spark.sparkContext.broadcast(dict(rarity))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(v, "".join(words_of(v)), c, len(c) + 1, pairs_of(c), p, i) for v in batch["value"] for c in candidates(v) for p, i in prefix_rows(c, shared.value)]
+            rows = [(v, "".join(words_of(v)), c, len(c) + 1, pairs_of(c), p, i) for v in batch["value"] for c in candidates(v, context) for p, i in prefix_rows(c, shared.value)]
             yield pd.DataFrame(rows, columns=["value", "whole", "s", "size", "pairs", "pair", "pos"])
 
     # cheap to send, dear to take apart: spread over all cores, however few bytes the values are
@@ -130,8 +133,9 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     fuzzy = F.col("kind").isin("symbol", "first") & (F.length("rs") >= LEAST_FUZZY) & (F.levenshtein("s", "rs", 1) == 1)
     kept = verified.where(exact | fuzzy).withColumn("exact", exact).withColumn("apart", F.levenshtein("whole", "core"))
     # the best entry is a minimum: combined before the shuffle, no sort of a value's candidates
+    weak = F.col("s").isin(*sorted(CONTEXT & listed)) & (F.col("s") != F.col("whole"))
     order = F.struct(
-        (~exact).alias("misspelt"), F.when(exact, -F.length("s")).otherwise(0).alias("shorter"), F.levenshtein("whole", "core").alias("apart"), (-F.col("similarity")).alias("unlike"), "symbol_ref", "kind", "similarity"
+        weak.alias("weak"), (~exact).alias("misspelt"), F.when(exact, -F.length("s")).otherwise(0).alias("shorter"), F.levenshtein("whole", "core").alias("apart"), (-F.col("similarity")).alias("unlike"), "symbol_ref", "kind", "similarity"
     )
     return kept.groupBy("value").agg(F.min(order).alias("m")).select("value", "m.symbol_ref", "m.kind", "m.similarity")
 
