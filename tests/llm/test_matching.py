@@ -40,6 +40,14 @@ def test_entries_listed_under_context_words(spark):
     assert named(spark, [*LIST, ("UK", "Bavazen Airways Group"), ("SE", "Zorvalix Steel"), ("ALLS", "All Lumber Inc"), ("STOCX", "Mirfirand Water")], cases) == cases
 
 
+def test_names_and_runs_of_many_words(spark):
+    entries = [*LIST, ("NRTA", "Northern Lakes Water Steel Power Group"), ("NRTB", "Northern Lakes Water Steel Mining Group"), ("ORD", "Orderbookers Retail")]
+    cases = {
+        "the Northern Lakes Water Steel Mining Group not Orderbookers": "NRTB", "not Orderbookers: Northern Lakes Water Steel Power, long": "NRTA", "Ta l ni x is shares": "ABXQF", "Northern or Orderbookers": "ORD",
+    }
+    assert named(spark, entries, cases) == cases
+
+
 def test_empty_tables(spark):
     ref, df = spark.createDataFrame(LIST, "symbol string, name string"), spark.createDataFrame([("x",)], "typed string")
     assert canonical.map_column(df.limit(0), "typed", ref, "symbol", "name").count() == 0

@@ -12,6 +12,7 @@ import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,8 +26,8 @@ from tidemark.session import ship
 LOST_PAIRS = 2
 #: A misspelt string must stand for an entry string of at least this many characters.
 LEAST_FUZZY = 5
-#: So many consecutive words of a value are also tried in one.
-JOINED = 4
+#: Candidates are handed on in frames of so many rows, however many a value has.
+FRAME_ROWS = 4096
 #: Reference lists up to this many strings are broadcast; longer ones are joined by shuffles.
 BROADCAST_STRINGS = 100_000
 LEGAL_FORMS = frozenset("corp corporation holdings holding group co company ltd limited se plc inc incorporated ag sa nv llc lp gmbh".split())
@@ -40,20 +41,21 @@ def words_of(value: str) -> list[str]:
     return WORD.findall(unicodedata.normalize("NFKC", value).casefold())
 
 
-def candidates(value: str, context: frozenset[str]) -> list[str]:
-    """The strings of a value that may name an entry: each word, up to JOINED consecutive ones in one, all in one, letters set apart."""
-    words = words_of(value)
-    found = {"".join(words)} | {"".join(words[i : i + n]) for n in range(1, JOINED + 1) for i in range(len(words) - n + 1)}
-    run = ""
-    for w in [*words, "  "]:
-        if len(w) == 1:
-            run += w
-        else:
-            found.add(run)
-            run = ""
+def candidates(words: list[str], lengths: frozenset[int], context: frozenset[str]) -> list[str]:
+    """The strings of a value that may name an entry: its words and consecutive ones in one, of the given lengths."""
+    longest = max(lengths, default=0)
+    found = set()
+    for i in range(len(words)):
+        s = ""
+        for j in range(i, len(words)):
+            s += words[j]
+            if len(s) > longest:
+                break
+            if len(s) in lengths:
+                found.add(s)
     if len(words) > 1:
         found -= context
-    return sorted(found - {""})
+    return sorted(found)
 
 
 def pairs_of(s: str) -> list[str]:
@@ -111,12 +113,15 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     if len(entries) <= BROADCAST_STRINGS:
         index = F.broadcast(index)
     context = CONTEXT - listed
+    lengths = frozenset(len(s) + d for _, kind, s in entries for d in ((-1, 0, 1) if may_be_misspelt(kind, s) else (0,)))
     shared = spark.sparkContext.broadcast(dict(rarity))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [(v, "".join(words_of(v)), c, len(c) + 1, pairs_of(c), p, i) for v in batch["value"] for c in candidates(v, context) for p, i in prefix_rows(c, shared.value)]
-            yield pd.DataFrame(rows, columns=["value", "whole", "s", "size", "pairs", "pair", "pos"])
+        split = ((v, words_of(v)) for batch in batches for v in batch["value"])
+        found = ((v, "".join(w), c, pairs_of(c)) for v, w in split for c in candidates(w, lengths, context))
+        rows = ((v, whole, c, len(c) + 1, pairs, p, i) for v, whole, c, pairs in found for p, i in prefix_rows(c, shared.value))
+        for part in batched(rows, FRAME_ROWS):
+            yield pd.DataFrame(list(part), columns=["value", "whole", "s", "size", "pairs", "pair", "pos"])
 
     # cheap to send, dear to take apart: spread over all cores, however few bytes the values are
     parts = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
