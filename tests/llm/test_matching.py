@@ -48,6 +48,16 @@ def test_names_and_runs_of_many_words(spark):
     assert named(spark, entries, cases) == cases
 
 
+def test_misspelt_short_first_words(spark):
+    cases = {
+        "Zorf": "PLVV", "zor foods": "PLVV", "the Zorrv shares": "PLVV", "Zrov": "", "Oek": "MXQ", "Oa": "MXQ", "oaks": "MXQ", "Ok steel": "MXQ", "Eak": "MXQ", "Kao": "",
+        "Ap": "RRST", "Bq": "RRST", "Abq": "RRST", "Pa": "", "PLVW": "", "PLV": "", "MXZ": "", "MX": "", "RRS": "",
+    }
+    assert named(spark, [("PLVV", "Zorv Foods Holdings"), ("MXQ", "Oak Steel"), ("RRST", "Aq Water Ltd")], cases) == cases
+    cases = {"Y": "TBQR", "XY lumber": "TBQR", "x": "TBQR", "TBQ": "", "zz": ""}
+    assert named(spark, [("TBQR", "X Lumber")], cases) == cases
+
+
 def test_empty_tables(spark):
     ref, df = spark.createDataFrame(LIST, "symbol string, name string"), spark.createDataFrame([("x",)], "typed string")
     assert canonical.map_column(df.limit(0), "typed", ref, "symbol", "name").count() == 0

@@ -24,7 +24,7 @@ from tidemark.session import ship
 #: One wrong, missing or extra letter takes at most two pairs from the larger of two sets of m pairs, which leaves a
 #: Jaccard coefficient of at least (m - 2) / (m + 2): the threshold is a matter of length.
 LOST_PAIRS = 2
-#: A misspelt string must stand for an entry string of at least this many characters.
+#: A misspelt symbol must stand for one of at least this many characters; first words of any length may be misspelt.
 LEAST_FUZZY = 5
 #: Candidates are handed on in frames of so many rows, however many a value has.
 FRAME_ROWS = 4096
@@ -81,14 +81,16 @@ def entry_strings(symbol: str, name: str | None) -> list[tuple[str, str]]:
 def prefix_rows(s: str, rarity: dict[str, int], lost: int = LOST_PAIRS) -> list[tuple[str, int]]:
     """(pair, position) of the prefix of a string, rarest pairs first: one more than may be lost.
 
-    Pairs that no entry has match nothing; they keep their positions and are left out.
+    Pairs that no entry has match nothing; they keep their positions and are left out. Two single letters share no pair
+    though one may stand for the other: they meet by the pair of ends.
     """
     ordered = sorted(pairs_of(s), key=lambda p: (rarity.get(p, 0), p))
-    return [(p, i) for i, p in enumerate(ordered[: lost + 1]) if p in rarity]
+    rows = [(p, i) for i, p in enumerate(ordered[: lost + 1]) if p in rarity]
+    return [*rows, ("^$", 0)] if lost and len(s) == 1 else rows
 
 
 def may_be_misspelt(kind: str, s: str) -> bool:
-    return kind in ("symbol", "first") and len(s) >= LEAST_FUZZY
+    return kind == "first" or (kind == "symbol" and len(s) >= LEAST_FUZZY)
 
 
 SIDE = "s string, size int, pairs array<string>, pair string, pos int"
@@ -108,8 +110,8 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     listed = {s for *_, s in entries}
     rarity = Counter(p for s in listed for p in pairs_of(s))
     cores = {sym: s for sym, kind, s in entries if kind == "core"}
-    ref_rows = [(sym, kind, s, cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity, LOST_PAIRS if may_be_misspelt(kind, s) else 0)]
-    index = spark.createDataFrame(ref_rows, "symbol_ref string, kind string, rs string, core string, rsize int, rpairs array<string>, pair string, rpos int")
+    ref_rows = [(sym, kind, s, may_be_misspelt(kind, s), cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity, LOST_PAIRS if may_be_misspelt(kind, s) else 0)]
+    index = spark.createDataFrame(ref_rows, "symbol_ref string, kind string, rs string, inexact boolean, core string, rsize int, rpairs array<string>, pair string, rpos int")
     if len(entries) <= BROADCAST_STRINGS:
         index = F.broadcast(index)
     context = CONTEXT - listed
@@ -135,7 +137,7 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     verified = met.withColumn("common", F.size(F.array_intersect("pairs", "rpairs"))).where(F.col("common") >= need)
     verified = verified.withColumn("similarity", F.col("common") / (F.col("size") + F.col("rsize") - F.col("common")))
     exact = F.col("s") == F.col("rs")
-    fuzzy = F.col("kind").isin("symbol", "first") & (F.length("rs") >= LEAST_FUZZY) & (F.levenshtein("s", "rs", 1) == 1)
+    fuzzy = F.col("inexact") & (F.levenshtein("s", "rs", 1) == 1)
     kept = verified.where(exact | fuzzy).withColumn("exact", exact).withColumn("apart", F.levenshtein("whole", "core"))
     # the best entry is a minimum: combined before the shuffle, no sort of a value's candidates
     weak = F.col("s").isin(*sorted(CONTEXT & listed)) & (F.col("s") != F.col("whole"))
