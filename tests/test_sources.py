@@ -136,6 +136,34 @@ def test_streaming_runs_what_is_available(spark, tmp_path):
     assert [(r["symbol"], r["chatter_count"], r["score_sum"], r["sent_mean"]) for r in got] == [("A", 2, 3.0, 0.5)]
 
 
+def test_streaming_counts_late_rows(spark, tmp_path):
+    src, places = str(tmp_path / "in"), [str(tmp_path / p) for p in ("store", "out", "cp")]
+    schema = "id string, created_utc bigint, symbol string, score int, sentiment_score double"
+    day = lambda n: 86400 * n
+    arrivals = [
+        [("1", day(10), "A", 1, 0.5), ("2", day(10) + 5, " a ", 2, None), ("3", day(20), "A", 1, 0.1), ("4", None, "A", 1, 0.1)],
+        [("5", None, "A", 1, 0.1)],
+        [("6", day(10) + 9, "A", 4, 0.7), ("7", day(1), "B", None, None)],
+        [],
+    ]
+    for rows in arrivals:
+        if rows:
+            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        streaming.run_daily_counts(streaming.arriving(spark, src, schema), *places).awaitTermination()
+    got = {(str(r["day"]), r["symbol"]): (r["chatter_count"], r["score_sum"], r["sent_mean"]) for r in spark.read.parquet(places[1]).collect()}
+    assert got == {("1970-01-02", "B"): (1, 0.0, None), ("1970-01-11", "A"): (3, 7.0, 0.6), ("1970-01-21", "A"): (1, 1.0, 0.1)}
+
+
+def test_streaming_keeps_late_first_deliveries(spark, tmp_path):
+    src, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")
+    schema = "id string, created_utc bigint"
+    for rows in [[("1", 86400 * 50), ("1", 86400 * 50), (None, 5)], [("1", 86400 * 90), ("2", 86400), (None, 6)], [("2", 86400 * 2), ("3", 1)]]:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+        streaming.run_first_deliveries(streaming.arriving(spark, src, schema), "id", out, state).awaitTermination()
+    got = sorted((r["id"] or "", r["created_utc"]) for r in spark.read.parquet(out).collect())
+    assert got == [("", 5), ("1", 86400 * 50), ("2", 86400), ("3", 1)]
+
+
 def test_settings_order(tmp_path):
     try:
         import yaml  # noqa: F401
