@@ -1,10 +1,12 @@
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import catalog, encode, leaks, quality, residue
+from tidemark.llm.sampling import smallest_hashes
 
 RANKS = f"{catalog.TOKENIZERS}/byte_bpe_50k.tiktoken"
 needs_ranks = pytest.mark.skipif(not os.path.exists(RANKS), reason="no vocabulary")
@@ -127,11 +129,45 @@ def test_residue_on_unseen_hosts(spark):
     assert residue.find_residue(df.limit(0), "text", "source").count() == 0
 
 
-def test_residue_holdout():
-    lines = [(x, h, int(bool(residue.WEAK.search(x)))) for _, t, h in corpus() for x in residue.lines_of(t)]
+#: Residue that bears no weak label, and texts that no line of the fixtures repeats.
+UNLISTED = ["Access denied. Reference #18.2c", "Enable cookies to continue", "Hello {first_name}, your order ships soon"]
+
+
+def test_residue_is_told_by_the_model():
+    lines = [(x, h, int(residue.weak(x))) for _, t, h in corpus() for x in residue.lines_of(t)]
     model = residue.fit(lines)
-    assert model.holdout["precision"] > 0.95 and model.holdout["recall"] > 0.95
-    assert not any(residue.WEAK.search(t) for t in TALK)
+    assert model.holdout["precision"] > 0.9 and model.holdout["recall"] > 0.9
+    assert model.residue(UNLISTED).all() and not model.residue([None, "", " \n ", *TALK]).any()
+    assert not any(map(residue.weak, TALK)) and not residue.weak(UNLISTED[0])
+    alone = residue.fit([])  # examples made by rule keep it usable
+    assert alone.residue(UNLISTED).all()
+
+
+def test_residue_features_do_not_depend_on_neighbours():
+    texts = ["One {{two}} three\n\nfour", "", None, "x" * 5000 + " __y__", "__", "\u2028 \x00 ok"]
+    model = residue.fit([(x, "h", 1) for x in RESIDUE] + [(x, "h", 0) for x in TALK])
+    together, owner = model.margins([t or "" for t in texts])
+    apart = [model.margins([t or ""])[0] for t in texts]
+    assert np.allclose(together, np.concatenate(apart)) and owner.tolist() == [i for i, a in enumerate(apart) for _ in a]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_residue_on_unseen_hosts_of_the_test_tables(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = residue.fitted(docs, "text", "source")
+    assert model.holdout["residue"] > 50 and model.holdout["recall"] >= 0.9 and model.holdout["precision"] >= 0.9, model.holdout
+    texts = [r[0] for r in docs.where("text IS NOT NULL").select("text").collect()]
+    found = model.residue(texts)
+    unlabelled = [t for t, f in zip(texts, found) if f and not any(map(residue.weak, residue.lines_of(t)))]
+    assert len(unlabelled) >= 5
+
+
+def test_sample_is_filled_however_often_rows_repeat(spark):
+    rows = spark.range(60_000).select(F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.concat(F.lit("v"), (F.col("id") % 900).cast("string"))).alias("v"))
+    assert len(smallest_hashes(rows, "v", 250)) == 250
+    whole = rows.distinct().orderBy(F.xxhash64("v"), "v").limit(250).collect()
+    assert [r[0] for r in smallest_hashes(rows, "v", 250)] == [r[0] for r in whole]
+    assert len(smallest_hashes(rows, "v", 5_000)) == 301 and smallest_hashes(rows.limit(0), "v", 5) == []
 
 
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")

@@ -245,7 +245,7 @@ def sample(df: DataFrame, text: Column, least_chars: int) -> list[str]:
     """At most SAMPLE_TEXTS distinct texts, those with the smallest hashes (the same ones however the rows are spread)."""
     texts = df.select(text.alias("t"))
     fit = texts.where(F.length("t").between(least_chars, SAMPLE_CHARS))
-    return [r[0] for r in smallest_hashes(fit, "t", SAMPLE_TEXTS, texts.count()).collect()]
+    return [r[0] for r in smallest_hashes(fit, "t", SAMPLE_TEXTS)]
 
 
 def text_quality(df: DataFrame, text: Column, least_chars: int = 40, counts: bool = True) -> DataFrame:

@@ -1,23 +1,41 @@
-"""Bounded samples for fitting, drawn without moving the corpus."""
+"""Bounded samples for fitting, drawn by ranges of hashes without moving the corpus."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-#: The share of hashes that is looked at leaves about so many times the rows that are wanted.
-SPARE = 4
+#: The first range of hashes holds about so many times the rows that are wanted; each further one is so much wider.
+SPARE, WIDER = 4, 16
+
+
+def shares(rows: int, wanted: int, spare: float = SPARE) -> Iterator[float]:
+    """Growing shares of all hashes, the last one whole: for ``wanted`` of ``rows`` if they are distinct, then wider."""
+    share = spare * wanted / max(1, rows)
+    while share < 1:
+        yield share
+        share *= WIDER
+    yield 1.0
+
+
+def within(column: str, share: float) -> Column:
+    """Whether the hash of the column lies in the lowest ``share`` of all hashes."""
+    return F.lit(True) if share >= 1 else F.xxhash64(column) < F.lit(-(1 << 63) + int(share * (1 << 64)))
 
 
-def smallest_hashes(df: DataFrame, column: str, most: int, rows: int) -> DataFrame:
-    """At most ``most`` distinct values of ``column``: those with the smallest hashes, wherever their rows are.
+def smallest_hashes(df: DataFrame, column: str, most: int) -> list[Row]:
+    """Those ``most`` distinct values of ``column`` (all, if there are fewer) whose hashes are smallest.
 
-    ``rows`` is a count to which the distinct values are in proportion. Where it is much larger than ``most``, a range of
-    hashes narrows the rows first, so that what is shuffled and sorted does not grow with the corpus.
+    A range of hashes narrows the rows before anything is shuffled. Where rows repeat each other so much that the range
+    holds too few values, it is widened until it is filled or covers all rows; the values are the same in either case.
     """
-    hashed = df.withColumn("__h", F.xxhash64(column))
-    if rows > SPARE * most:
-        hashed = hashed.where(F.col("__h") < F.lit(-(1 << 63) + (1 << 64) * SPARE * most // rows))
     rest = [c for c in df.columns if c != column]
-    once = hashed.groupBy(column, "__h").agg(*(F.min(c).alias(c) for c in rest)) if rest else hashed.dropDuplicates([column, "__h"])
-    return once.orderBy("__h", column).limit(most).select(*df.columns)
+    for share in shares(df.count(), most):
+        part = df.where(within(column, share))
+        once = part.groupBy(column).agg(*(F.min(c).alias(c) for c in rest)) if rest else part.distinct()
+        found = once.orderBy(F.xxhash64(column), column).limit(most).collect()
+        if len(found) == most or share == 1:
+            return found
+    return []
