@@ -28,7 +28,7 @@ BITS = 18
 SAMPLE_TEXTS = 20_000
 SAMPLE_LINES = {1: 6_000, 0: 16_000}
 #: Residue lines are looked for in more and more of the corpus until there are so many of them.
-LEAST_RESIDUE = 1_000
+LEAST_RESIDUE = 300
 #: Longer texts and lines are judged like all others but not chosen for fitting.
 SAMPLE_CHARS, SAMPLE_LINE_CHARS = 20_000, 2_000
 PENALTIES = (1e-7, 3e-6)
