@@ -41,6 +41,10 @@ BIAS = -1.0
 CHARS_AT_ONCE = 2_000_000
 #: Runs of marks count by their first marks, words by their first letters, so that no feature is unbounded.
 MARKS, LETTERS = 4, 24
+#: So many features without weight are added to each line, which holds lines of a word or two back.
+SHRINK = 25
+#: Lines with a smaller share of different tokens are repetitive.
+REPETITIVE = 0.5
 
 _REASONS = "|".join(sorted({re.escape(s.phrase).replace(r"\ ", " ") for s in HTTPStatus if s >= 400} | {"Page not found", "Access denied", "(?:Unknown|Server|Client|Network|Database|Application) error"}, key=len, reverse=True))
 _NEEDED = r"(?:java ?script|cookies|scripts?)"
@@ -167,7 +171,7 @@ def _bits(*parts: np.ndarray, salt: int) -> np.ndarray:
 
 def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature, line, text of line): hashed n-grams of words and shapes with length and title features, of all lines of
-    ``texts`` at once. Lines without tokens do not count."""
+    ``texts`` at once. Lines without tokens do not count; lines that mostly repeat themselves have each feature once."""
     tokens: list[str] = []
     bounds = np.zeros(len(texts), dtype=np.int64)
     for i, t in enumerate(texts):
@@ -206,12 +210,18 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         _bits(u(bucket), salt=8), _bits(u(titled), salt=9), _bits(u(shouted), salt=10),
     ])
     lines_of_features = np.concatenate([own, own, own[after > 0], own, own[opening], own[marked], own[marked], per_line, per_line, per_line])
+    different = np.bincount(np.unique(own * (ids.max() + 1) + ids[at]) // (ids.max() + 1), minlength=lines)
+    repetitive = (different < REPETITIVE * size)[lines_of_features]
+    if repetitive.any():
+        once = np.unique(lines_of_features[repetitive] << BITS | features[repetitive])
+        features = np.concatenate([features[~repetitive], once & (1 << BITS) - 1])
+        lines_of_features = np.concatenate([lines_of_features[~repetitive], once >> BITS])
     return features, lines_of_features, owner
 
 
 @dataclass
 class Linear:
-    """A linear classifier over hashed features of lines, each line scaled to unit length; and how it did on unseen hosts."""
+    """A linear classifier over hashed features of lines, each line scaled by its length; and how it did on unseen hosts."""
 
     weights: np.ndarray
     bias: float
@@ -223,7 +233,7 @@ class Linear:
         f, line, owner = line_features(texts)
         if not len(owner):
             return np.zeros(0), owner
-        return np.bincount(line, self.weights[f], len(owner)) / np.sqrt(np.bincount(line, minlength=len(owner))) + self.bias, owner
+        return np.bincount(line, self.weights[f], len(owner)) / np.sqrt(np.bincount(line, minlength=len(owner)) + SHRINK) + self.bias, owner
 
     def residue(self, texts: list[str | None]) -> np.ndarray:
         """Whether any line of each text is residue; null and blank texts are not."""
@@ -244,7 +254,7 @@ def fit_weights(rows: list[np.ndarray], y: np.ndarray, share: np.ndarray, penalt
     size = np.array([len(rows[i]) for i in order])
     ends = np.concatenate([[0], np.cumsum(size)])
     owner = np.repeat(np.arange(len(order)), size)
-    scale = (1 / np.sqrt(np.maximum(size, 1)))[owner]
+    scale = (1 / np.sqrt(size + SHRINK))[owner]
     y, share = y[order], share[order] * len(order) / share.sum()
     w, b = np.zeros(len(used)), BIAS
     m, v = np.zeros_like(w), np.zeros_like(w)
@@ -300,7 +310,7 @@ def fit(lines: list[tuple[str, str | None, int]]) -> Linear:
         return Linear(*fit_weights([rows[i] for i in part], y[part], share[part], penalty), penalty)
 
     def judged(model: Linear, part: np.ndarray) -> dict:
-        return scores(np.array([model.weights[rows[i]].sum() / np.sqrt(max(1, len(rows[i]))) + model.bias for i in part]), y[part])
+        return scores(np.array([model.weights[rows[i]].sum() / np.sqrt(len(rows[i]) + SHRINK) + model.bias for i in part]), y[part])
 
     choose, train = np.flatnonzero(group == 1), np.flatnonzero(group != 0)
     penalty = PENALTIES[0]
