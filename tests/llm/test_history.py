@@ -90,6 +90,53 @@ def test_batches_against_brute_force(spark):
     assert H.repeated_records(df.limit(0), Workspace(spark, "t")).count() == 0
 
 
+def shaped(spark, rows, kind="comment"):
+    df = spark.createDataFrame(rows, "id string, batch int, arrived int, text string")
+    return df.select(F.lit(kind).alias("kind"), F.col("id").alias("key"), "*").where("batch IS NOT NULL")
+
+
+def test_a_reopened_history_goes_on_and_reads_what_it_needs(spark, tmp_path):
+    rows = records(random.Random(11))
+    last = [r for r in rows if r[1] == 3]
+    texts = [r for r in last if len(H.words_of(r[3] or "")) >= 60]
+    df, at = shaped(spark, rows), f"file://{tmp_path}/h"
+    history = H.History.create(spark, at, buckets=128)
+    got = set()
+    for b in range(3):
+        got |= {(r["id_a"], r["id_b"]) for r in history.ingest(df.where(F.col("batch") == b)).collect()}
+    spark.createDataFrame([(1,)], "x int").write.parquet(f"{at}/v0/ids/generation=000003")  # what a session left that died in its fourth batch
+    other = spark.newSession()
+    again = H.History.open(other, at)
+    assert (again.generations, again.buckets, again.places) == (3, 128, history.places)
+    one = shaped(other, texts[:1])  # a small batch opens few of the buckets
+    probes = H.filed(H.vectors(H.prepared(one), again.places))
+    touched, _ = again._touched(probes, "cell")
+    few, whole = again.shelf("cells", touched), again.shelf("cells")
+    opened = lambda df: df.select(F.input_file_name()).distinct().count()
+    assert 0 < len(touched) < 30 and opened(few) < opened(whole) / 2 and few.count() < whole.count() / 2
+    assert f"PartitionFilters: [bucket" in few._jdf.queryExecution().executedPlan().toString()
+    got |= {(r["id_a"], r["id_b"]) for r in again.ingest(shaped(other, last)).collect()}
+    assert got == brute(rows)
+    n = again.shelf("texts").count()
+    again.compact()
+    reopened = H.History.open(spark, at)
+    assert (reopened.generations, reopened.shelf("texts").count(), reopened.buckets) == (1, n, 4)
+    repeat = shaped(spark, [(f"n{r[0]}", 4, 0, r[3]) for r in texts])
+    old = brute(rows + [(f"n{r[0]}", 4, 0, r[3]) for r in texts]) - brute(rows)
+    assert {(r["id_a"], r["id_b"]) for r in reopened.ingest(repeat).collect()} == old and old
+    assert reopened.ingest(df.limit(0)).count() == 0
+
+
+def test_kinds_stay_apart(spark, tmp_path):
+    rnd = random.Random(5)
+    text = " ".join(rnd.choice(WORDS) for _ in range(90))
+    history = H.History.create(spark, f"file://{tmp_path}/k")
+    for b in range(2):
+        both = shaped(spark, [(f"s{b}", b, 0, text)], "submission").unionByName(shaped(spark, [(f"c{b}", b, 0, text)]))
+        found = sorted(tuple(r) for r in history.ingest(both).collect())
+    assert found == [("comment", "c0", "c1"), ("submission", "s0", "s1")]
+
+
 def test_prefixes_and_sketches_never_lose_a_near_vector():
     rnd = random.Random(4)
     for _ in range(300):

@@ -7,10 +7,13 @@ stand in the other, their distance is at most two fifths of its length.
 Cells belong to coordinates, ordered once by their frequency in the first batch, rarest first. An accepted vector is
 filed in the cells of its leading coordinates; a new one probes the cells of its own, rarest first, and may stop as soon
 as the coordinates already probed put every vector not yet met beyond the distance: after a fifth of its length plus one
-cell. Bounds by length, by position and by a sketch of parities, which never exceeds the distance, discard
-nearly all of what is met inside the join; what is left is measured by the full vectors and then compared word by word
-(longest common subsequence). Accepted vectors are then appended to the cells;
-neither texts nor vectors of the history are processed again.
+cell. Bounds by length, by position and by a sketch of parities, which never exceeds the distance, discard nearly all of
+what is met inside the join; what is left is compared word by word (longest common subsequence).
+
+``History`` is a folder that outlives the session: ``History.open`` finds the order, the cells and the accepted texts as
+they were left. Everything lies in buckets by the hash of the cell, text or key; a batch reads the buckets it touches, and
+the words of accepted texts only where the bounds left a candidate. Neither texts nor vectors of the history are computed
+again. A batch is a generation, which counts once its marker is written: a session that dies leaves no half of one.
 
 Texts that are equal word for word are one class with one vector; only their ids are kept apart.
 """
@@ -21,17 +24,22 @@ import hashlib
 import math
 import unicodedata
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import Workspace
+from tidemark.session import Workspace, ship
 
 SHARE = 0.8
 LEAST_WORDS, LEAST_DIFFERENT = 60, 30
 #: Coordinates whose frequency is known; all others count as the rarest and are ordered by their hash.
 RANKED = 50_000
+#: What one bucket of a new history should hold of the first batch, and how many there may be.
+CELLS_A_BUCKET, BUCKETS = 200_000, (4, 4096)
+#: Rows of a batch that are sent to all executors; more are shuffled.
+BROADCAST_ROWS = 300_000
 
 #: Letters that look like Latin ones (fixed values).
 LOOK_ALIKE = str.maketrans(
@@ -79,23 +87,6 @@ def repeats(a: list[str], b: list[str]) -> bool:
     return min(len(a), len(b)) >= SHARE * most - 1e-9 and common_words(a, b) >= SHARE * most - 1e-9
 
 
-def prepared(df: DataFrame) -> DataFrame:
-    """(id, batch, class, words): the texts of (id, batch, text) that are long and varied enough to be compared."""
-
-    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for i, b, text in zip(batch["id"], batch["batch"], batch["text"]):
-                words = words_of(text)
-                if len(words) >= LEAST_WORDS and len(set(words)) >= LEAST_DIFFERENT:
-                    joined = " ".join(words)
-                    rows.append((i, b, hashlib.md5(joined.encode("utf-8", "replace")).hexdigest(), joined))
-            yield pd.DataFrame(rows, columns=["id", "batch", "class", "words"])
-
-    long_enough = df.where(F.length("text") >= 2 * LEAST_WORDS - 1)
-    return long_enough.select("id", F.col("batch").cast("long").alias("batch"), "text").mapInPandas(prepare, "id string, batch long, class string, words string")
-
-
 def frequencies(texts: DataFrame) -> dict[str, int]:
     """The RANKED most frequent coordinates of the texts (class, words), each with its place from rare to frequent."""
 
@@ -120,22 +111,52 @@ def parities(hashes: list[int]) -> list[int]:
     return [signed(b) for b in bits]
 
 
-VECTOR = "vector array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
+VECTOR = "vid bigint, leading array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint, size int"
+#: What the shelves of a history hold: delivered ids, cells, accepted texts, the ids of these.
+SHELVES = {
+    "ids": "bucket int, kind string, key string, id string",
+    "cells": "bucket int, cell bigint, pos int, vid bigint, size int, s0 bigint, s1 bigint, s2 bigint, s3 bigint",
+    "texts": "bucket int, vid bigint, class string, kind string, words string",
+    "members": "bucket int, class string, id string",
+}
+
+
+def prepared(df: DataFrame) -> DataFrame:
+    """(kind, id, class, words): the texts of (kind, id, text) that are long and varied enough to be compared.
+
+    A class is a text apart from its form, within its kind; different kinds are never compared.
+    """
+
+    def prepare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for kind, i, text in zip(batch["kind"], batch["id"], batch["text"]):
+                words = words_of(text)
+                if len(words) >= LEAST_WORDS and len(set(words)) >= LEAST_DIFFERENT:
+                    joined = " ".join(words)
+                    rows.append((kind, i, hashlib.md5(f"{kind} {joined}".encode("utf-8", "replace")).hexdigest(), joined))
+            yield pd.DataFrame(rows, columns=["kind", "id", "class", "words"])
+
+    long_enough = df.where(F.length("text") >= 2 * LEAST_WORDS - 1)
+    return long_enough.select("kind", "id", "text").mapInPandas(prepare, "kind string, id string, class string, words string")
 
 
 def vectors(texts: DataFrame, places: dict[str, int]) -> DataFrame:
-    """``texts`` with their vectors, coordinates as hashes with the rarest first, sketches, and a number vid of each row."""
+    """``texts`` (class, words, ...) with a number, the leading coordinates as hashes (rarest first), sketch and size.
+
+    The number comes from the class, so it is the same in every session; two classes that share one cost a comparison.
+    """
     shared = texts.sparkSession.sparkContext.broadcast(places)
 
-    def order(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def order(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         import xxhash
 
         place, known = shared.value, {}
-        for batch in batches:
+        for classes, batch in batches:
             if len(known) > 10 * RANKED:
                 known = {}
             rows = []
-            for words in batch:
+            for name, words in zip(classes, batch):
                 keyed = []
                 for c in coordinates(words.split(" ")):
                     k = known.get(c)
@@ -144,99 +165,213 @@ def vectors(texts: DataFrame, places: dict[str, int]) -> DataFrame:
                     keyed.append(k)
                 keyed.sort()
                 hashes = [h for _, h in keyed]
-                rows.append(([signed(h) for h in hashes], *parities(hashes)))
-            yield pd.DataFrame(rows, columns=["vector", "s0", "s1", "s2", "s3"])
+                rows.append((signed(int(name[:16], 16)), [signed(h) for h in hashes[: prefix_length(len(hashes))]], *parities(hashes), len(hashes)))
+            yield pd.DataFrame(rows, columns=["vid", "leading", "s0", "s1", "s2", "s3", "size"])
 
     udf = F.pandas_udf(order, VECTOR)
-    return texts.withColumn("v", udf("words")).select("*", "v.*").drop("v").withColumn("vid", F.monotonically_increasing_id())
+    return texts.withColumn("v", udf("class", "words")).select("*", "v.*").drop("v")
 
 
 def filed(vecs: DataFrame) -> DataFrame:
-    """(cell, pos, vid, size, sketch): the cells in which vectors are filed, or which they probe."""
-    size = F.size("vector")
-    leading = F.slice("vector", 1, (size - F.ceil(size * SHARE - 1e-9) + 1).cast("int"))
-    return vecs.select("vid", size.alias("size"), "s0", "s1", "s2", "s3", F.posexplode(leading).alias("pos", "cell")).select("cell", "pos", "vid", "size", "s0", "s1", "s2", "s3")
+    """The cells in which vectors are filed, or which they probe."""
+    return vecs.select("vid", "size", "s0", "s1", "s2", "s3", F.posexplode("leading").alias("pos", "cell"))
 
 
 class History:
-    """Accepted texts: their cells, and their vectors and words by class; all persisted in the workspace."""
-
-    def __init__(self, ws: Workspace):
-        self.ws = ws
-        self.cells: list[DataFrame] = []
-        self.classes: list[DataFrame] = []
-
-    def matches(self, new: DataFrame) -> DataFrame:
-        """(class, batch, accepted, accepted_batch): the accepted classes that the classes of ``new`` (a batch of ``vectors``) repeat."""
-        q, x = filed(new).alias("q"), self.ws.read(self.cells).alias("x")
-        most = F.greatest("q.size", "x.size")
-        need = F.ceil(most * SHARE - 1e-9)
-        apart = F.col("q.size") + F.col("x.size") - 2 * need
+    """Accepted texts and delivered ids in a folder, in generations of bucketed files.
+
+    ``create`` starts one, ``open`` goes on with one, ``ingest`` compares a batch and accepts what repeats nothing,
+    ``compact`` merges the generations under a new order of cells. One writer at a time.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        ship(spark)
+        self.spark, self.root = spark, path.rstrip("/")
+        jvm = spark._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.version, self.generations, self.places, self.buckets = 0, 0, None, 0
+        self.ws = Workspace(spark, "probe")
+
+    # -- state on disk
+
+    @classmethod
+    def create(cls, spark: SparkSession, path: str, buckets: int | None = None) -> "History":
+        """A new history; without ``buckets`` their number follows from the first batch."""
+        self = cls(spark, path)
+        if self._fs.exists(self._path(self.root)) and self._fs.listStatus(self._path(self.root)):
+            raise FileExistsError(path)
+        self.buckets = buckets or 0
+        return self
+
+    @classmethod
+    def open(cls, spark: SparkSession, path: str) -> "History":
+        self = cls(spark, path)
+        self.version = max((int(s.getPath().getName()[1:]) for s in self._fs.globStatus(self._path(f"{self.root}/v*")) if self._fs.exists(self._path(f"{s.getPath()}/done/000000"))), default=-1)
+        if self.version < 0:
+            raise FileNotFoundError(path)
+        while self._fs.exists(self._path(self._at(f"done/{self.generations:06d}"))):
+            self.generations += 1
+        kept = spark.read.schema("c string, place int, buckets int").parquet(self._at("order")).collect()
+        self.buckets = kept[0]["buckets"]
+        self.places = {r["c"]: r["place"] for r in kept if r["c"] is not None}
+        return self
+
+    def _at(self, what: str) -> str:
+        return f"{self.root}/v{self.version}/{what}"
+
+    def _keep_order(self, texts: DataFrame, cells_a_text: int = LEAST_WORDS // 5 + 1) -> None:
+        """Fix the order of coordinates and the number of buckets, for good."""
+        self.places = frequencies(texts)
+        if not self.buckets:
+            self.buckets = min(BUCKETS[1], max(BUCKETS[0], texts.count() * cells_a_text // CELLS_A_BUCKET))
+        rows = [(None, 0, self.buckets), *((c, p, self.buckets) for c, p in self.places.items())]
+        self.spark.createDataFrame(rows, "c string, place int, buckets int").coalesce(1).write.mode("overwrite").parquet(self._at("order"))
+
+    def _bucket(self, c: Column | str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(self.buckets)).cast("int")
+
+    def _file(self, shelf: str, rows: DataFrame, by: str) -> None:
+        names = [x.split()[0] for x in SHELVES[shelf].split(", ")]
+        rows = rows.withColumn("bucket", self._bucket(by)).select(*names).repartition("bucket").sortWithinPartitions("bucket", by)
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy("bucket").parquet(self._at(f"{shelf}/generation={self.generations:06d}"))
+
+    def shelf(self, name: str, touched: list[int] | None = None) -> DataFrame:
+        """What the complete generations hold, or their touched buckets alone: no other file is opened."""
+        parts = [at for g in range(self.generations) if self._fs.exists(self._path(at := self._at(f"{name}/generation={g:06d}")))]
+        if not parts:
+            return self.spark.createDataFrame([], SHELVES[name])
+        whole = self.spark.read.schema(SHELVES[name] + ", generation int").option("basePath", self._at(name)).parquet(*parts).drop("generation")
+        return whole if touched is None or len(touched) >= self.buckets else whole.where(F.col("bucket").isin(touched))
+
+    def _touched(self, rows: DataFrame, by: str) -> tuple[list[int], int]:
+        """The buckets that rows touch, at most as many as there are, and the number of rows."""
+        found = rows.groupBy(self._bucket(by).alias("b")).count().collect()
+        return sorted(r["b"] for r in found), sum(r["count"] for r in found)
+
+    # -- batches
+
+    def ingest(self, records: DataFrame) -> DataFrame:
+        """(kind, id_a, id_b) of the records (kind, key, id, text, arrived) of one batch that repeat an earlier one, by id or text.
+
+        The rest is accepted. Of a key that comes twice in the batch the first arrival counts; rows without a key are left
+        out, and null and short texts repeat nothing. Texts of one batch are not compared with each other; rejected ones
+        are not kept, but their ids are. An empty batch gives no rows and leaves the history as it was.
+        """
+        ws = self.ws
+        once = records.where("key IS NOT NULL").groupBy("kind", "key").agg(F.min_by(F.struct("text", "id"), F.struct("arrived", "text", "id")).alias("f")).select("kind", "key", F.col("f.id").alias("id"), F.col("f.text").alias("text"))
+        batch, n = ws.save(once, "batch")
+        if not n:
+            return self.spark.createDataFrame([], "kind string, id_a string, id_b string")
+        small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
+        keys = batch.select("kind", "key")
+        if self.generations:
+            ids = self.shelf("ids", self._touched(keys, "key")[0]).select("kind", "key", F.col("id").alias("old"))
+            known, n_known = ws.save(ids.join(small(keys, n), ["kind", "key"]), "known")
+            fresh = batch.join(small(known.select("kind", "key"), n_known), ["kind", "key"], "left_anti") if n_known else batch
+        else:
+            known, n_known, fresh = None, 0, batch
+        texts, n_texts = ws.save(prepared(fresh.where("text IS NOT NULL")), "texts")
+        if self.places is None:
+            self._keep_order(texts)
+        new, n_new = ws.save(vectors(texts.groupBy("class").agg(F.min("kind").alias("kind"), F.min("words").alias("words")), self.places), "vectors")
+        hits, n_hits = self._matches(new, n_new, small) if self.generations and n_new else (None, 0)
+        pairs = []
+        if n_known:
+            pairs.append(known.select("kind", F.col("old").alias("id_a"), F.col("old").alias("id_b")))
+        if n_hits:
+            old = self.shelf("members", self._touched(hits, "accepted")[0]).select(F.col("class").alias("accepted"), F.col("id").alias("id_old"))
+            near = old.join(small(hits, n_hits), "accepted").join(texts.select("class", "id"), "class")
+            pairs.append(near.select("kind", F.least("id", "id_old").alias("id_a"), F.greatest("id", "id_old").alias("id_b")))
+        found = None
+        if pairs:
+            found, _ = ws.save(pairs[0].unionByName(pairs[1]) if len(pairs) > 1 else pairs[0], "pairs")
+        apart = lambda df: df.join(small(hits.select("class").distinct(), n_hits), "class", "left_anti") if n_hits else df
+        filing = [("ids", fresh, "key")]
+        if n_new:
+            accepted = apart(new)
+            filing += [("texts", accepted, "vid"), ("cells", filed(accepted), "cell"), ("members", apart(texts), "class")]
+        self._file_all(filing)
+        ws.drop(batch, texts, new, *(t for t in (known, hits) if t is not None))
+        return found if found is not None else self.spark.createDataFrame([], "kind string, id_a string, id_b string")
+
+    def _file_all(self, filing: list[tuple[str, DataFrame, str]]) -> None:
+        """File the rows of a generation, the shelves at the same time, and mark it complete."""
+        with ThreadPoolExecutor(len(filing)) as pool:
+            for done in [pool.submit(self._file, *f) for f in filing]:
+                done.result()
+        self._fs.create(self._path(self._at(f"done/{self.generations:06d}"))).close()
+        self.generations += 1
+
+    def _matches(self, new: DataFrame, n_new: int, small) -> tuple[DataFrame, int]:
+        """(kind, class, accepted): the accepted classes that the classes of ``new`` repeat."""
+        probes = filed(new)
+        touched, n_probes = self._touched(probes, "cell")
+        q, x = probes.alias("q"), self.shelf("cells", touched).alias("x")
+        need = F.ceil(F.greatest("q.size", "x.size") * SHARE - 1e-9)
         flipped = sum((F.bit_count(F.col(f"q.s{i}").bitwiseXOR(F.col(f"x.s{i}"))) for i in range(4)), F.lit(0))
         met = (
-            q.join(x, F.col("q.cell") == F.col("x.cell"))
+            x.join(small(q, n_probes), F.col("q.cell") == F.col("x.cell"))
             .where(F.least("q.size", "x.size") >= need)
             .where(1 + F.least(F.col("q.size") - F.col("q.pos") - 1, F.col("x.size") - F.col("x.pos") - 1) >= need)
-            .where(flipped <= apart)
+            .where(flipped <= F.col("q.size") + F.col("x.size") - 2 * need)
             .select(F.col("q.vid").alias("vid"), F.col("x.vid").alias("met"))
             .distinct()
         )
-        left = new.select("vid", "class", "batch", F.col("words").alias("qw"), F.col("vector").alias("qv"))
-        right = self.ws.read(self.classes).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("batch").alias("accepted_batch"), F.col("words").alias("xw"), F.col("vector").alias("xv"))
-        near = met.join(left, "vid").join(right, "met").where(F.size(F.array_intersect("qv", "xv")) >= F.greatest(F.size("qv"), F.size("xv")) * SHARE - 1e-9)
+        met, n_met = self.ws.save(met, "met")
+        if not n_met:
+            return met, 0
+        right = self.shelf("texts", self._touched(met, "met")[0]).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("kind").alias("xkind"), F.col("words").alias("xw"))
+        left = new.select("vid", "kind", "class", F.col("words").alias("qw"))
 
         @F.pandas_udf("boolean")
         def same(a: pd.Series, b: pd.Series) -> pd.Series:
             return pd.Series([repeats(x.split(" "), y.split(" ")) for x, y in zip(a, b)], dtype=bool)
 
-        return near.where(same("qw", "xw")).select("class", "batch", "accepted", "accepted_batch")
+        near = right.join(small(met, n_met), "met").join(small(left, 10 * n_new), "vid").where("kind = xkind")
+        found = self.ws.save(near.where(same("qw", "xw")).select("kind", "class", "accepted"), "hits")
+        self.ws.drop(met)
+        return found
 
-    def ingest(self, new: DataFrame) -> DataFrame | None:
-        """What a batch of ``vectors`` (one row per class) repeats, see ``matches``; the rest of it is accepted.
+    def compact(self) -> None:
+        """All generations as one, in the order of coordinates and with the buckets that the accepted texts call for now.
 
-        Texts of one batch are not compared with each other, rejected ones not kept.
+        Words that were unknown at first count as the rarest; where they have grown common, this gives them their place.
         """
-        if not self.cells:
-            self.append(new)
-            return None
-        hits, n = self.ws.save(self.matches(new), "hits")
-        self.append(new.join(hits.select("class").distinct(), "class", "left_anti") if n else new)
-        return hits if n else None
-
-    def append(self, new: DataFrame) -> None:
-        stored, _ = self.ws.save(new, "classes")
-        self.classes.append(stored)
-        self.cells.append(self.ws.save(filed(stored), "cells")[0])
+        ids, texts, members = (self.shelf(s) for s in ("ids", "texts", "members"))
+        before, self.version = self.version, self.version + 1
+        generations, self.generations, self.buckets = self.generations, 0, 0
+        self._fs.delete(self._path(f"{self.root}/v{self.version}"), True)
+        self._keep_order(texts)
+        new, _ = self.ws.save(vectors(texts.select("class", "kind", "words"), self.places), "vectors")
+        self._file_all([("ids", ids, "key"), ("texts", new, "vid"), ("cells", filed(new), "cell"), ("members", members, "class")])
+        self.ws.drop(new)
+        if generations:
+            self._fs.delete(self._path(f"{self.root}/v{before}"), True)
+
+    def remove(self) -> None:
+        """Delete the folder."""
+        self._fs.delete(self._path(self.root), True)
 
 
 def repeated_records(records: DataFrame, ws: Workspace) -> DataFrame:
     """(kind, id_a, id_b) of the records (kind, key, id, text, batch, arrived) that repeat an earlier batch, by id or text.
 
-    ``text`` is null where texts are not compared. Of a record delivered more than once the first delivery counts.
-    Records without key or batch are left out; null and short texts repeat nothing. An empty input gives no rows.
+    The batches go through a ``History`` one after the other. ``text`` is null where texts are not compared. Records
+    without key or batch are left out. An empty input gives no rows.
     """
-    firsts = (
-        records.where("key IS NOT NULL AND batch IS NOT NULL")
-        .groupBy("kind", "key")
-        .agg(F.min("batch").alias("batch"), F.max("batch").alias("last"), F.min(F.struct("batch", "arrived", "text", "id")).alias("f"), F.min("id").alias("id"))
-        .select("kind", "id", "batch", "last", F.col("f.text").alias("text"))
-    )
-    firsts, _ = ws.save(firsts, "firsts")
-    again = firsts.where("last > batch").select("kind", F.col("id").alias("id_a"), F.col("id").alias("id_b"))
-    comparable = firsts.where("text IS NOT NULL")
-    texts, n = ws.save(prepared(comparable), "texts")
+    spark = records.sparkSession
+    stored, n = ws.save(records.where("key IS NOT NULL AND batch IS NOT NULL"), "records", partition_by="batch")
+    none = spark.createDataFrame([], "kind string, id_a string, id_b string")
     if not n:
-        return again
-    batches = sorted(r[0] for r in texts.select("batch").distinct().collect())
-    kind = comparable.select("kind").limit(1).collect()[0][0]
-    classes = texts.groupBy("batch", "class").agg(F.min("words").alias("words"))
-    vecs, _ = ws.save(vectors(classes, frequencies(texts.where(F.col("batch") == batches[0]))), "vectors", partition_by="batch")
-    history = History(ws)
-    found = [hits for b in batches if (hits := history.ingest(vecs.where(F.col("batch") == b))) is not None]
-    if not found:
-        return again
-    members = texts.select("id", "class", "batch")
-    old = members.select(F.col("id").alias("id_old"), F.col("class").alias("accepted"), F.col("batch").alias("accepted_batch"))
-    near = ws.read(found).join(members, ["class", "batch"]).join(old, ["accepted", "accepted_batch"])
-    pairs = near.select(F.lit(kind).alias("kind"), F.least("id", "id_old").alias("id_a"), F.greatest("id", "id_old").alias("id_b"))
-    return again.unionByName(pairs).distinct()
+        return none
+    history = History.create(spark, ws.path("history"))
+    found = []
+    for b in sorted(r[0] for r in stored.select("batch").distinct().collect()):
+        found.append(history.ingest(stored.where(F.col("batch") == b)))
+    history.remove()
+    ws.drop(stored)
+    whole = none
+    for f in found:
+        whole = whole.unionByName(f)
+    return whole.distinct()
