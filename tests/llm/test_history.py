@@ -110,7 +110,7 @@ def test_a_reopened_history_goes_on_and_reads_what_it_needs(spark, tmp_path):
     assert (again.generations, again.buckets, again.places) == (3, 128, history.places)
     one = shaped(other, texts[:1])  # a small batch opens few of the buckets
     probes = H.filed(H.vectors(H.prepared(one), again.places))
-    touched, _ = again._touched(probes, "cell")
+    touched = again._touched(probes, "cell")
     few, whole = again.shelf("cells", touched), again.shelf("cells")
     opened = lambda df: df.select(F.input_file_name()).distinct().count()
     assert 0 < len(touched) < 30 and opened(few) < opened(whole) / 2 and few.count() < whole.count() / 2

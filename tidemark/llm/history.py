@@ -38,6 +38,7 @@ LEAST_WORDS, LEAST_DIFFERENT = 60, 30
 RANKED = 50_000
 #: What one bucket of a new history should hold of the first batch, and how many there may be.
 CELLS_A_BUCKET, BUCKETS = 200_000, (4, 4096)
+FEW_BUCKETS = 16
 #: Rows of a batch that are sent to all executors; more are shuffled.
 BROADCAST_ROWS = 300_000
 
@@ -244,10 +245,11 @@ class History:
         whole = self.spark.read.schema(SHELVES[name] + ", generation int").option("basePath", self._at(name)).parquet(*parts).drop("generation")
         return whole if touched is None or len(touched) >= self.buckets else whole.where(F.col("bucket").isin(touched))
 
-    def _touched(self, rows: DataFrame, by: str) -> tuple[list[int], int]:
-        """The buckets that rows touch, at most as many as there are, and the number of rows."""
-        found = rows.groupBy(self._bucket(by).alias("b")).count().collect()
-        return sorted(r["b"] for r in found), sum(r["count"] for r in found)
+    def _touched(self, rows: DataFrame, by: str) -> list[int] | None:
+        """The buckets that rows touch; not looked for where there are few."""
+        if self.buckets <= FEW_BUCKETS:
+            return None
+        return sorted(r[0] for r in rows.select(self._bucket(by).alias("b")).distinct().collect())
 
     # -- batches
 
@@ -266,7 +268,7 @@ class History:
         small = lambda df, rows: F.broadcast(df) if rows <= BROADCAST_ROWS else df
         keys = batch.select("kind", "key")
         if self.generations:
-            ids = self.shelf("ids", self._touched(keys, "key")[0]).select("kind", "key", F.col("id").alias("old"))
+            ids = self.shelf("ids", self._touched(keys, "key")).select("kind", "key", F.col("id").alias("old"))
             known, n_known = ws.save(ids.join(small(keys, n), ["kind", "key"]), "known")
             fresh = batch.join(small(known.select("kind", "key"), n_known), ["kind", "key"], "left_anti") if n_known else batch
         else:
@@ -274,13 +276,14 @@ class History:
         texts, n_texts = ws.save(prepared(fresh.where("text IS NOT NULL")), "texts")
         if self.places is None:
             self._keep_order(texts)
-        new, n_new = ws.save(vectors(texts.groupBy("class").agg(F.min("kind").alias("kind"), F.min("words").alias("words")), self.places), "vectors")
+        classes = texts.groupBy("class").agg(F.min("kind").alias("kind"), F.min("words").alias("words"))
+        new, n_new = ws.save(vectors(classes, self.places), "vectors", measure=F.sum(F.size("leading")))
         hits, n_hits = self._matches(new, n_new, small) if self.generations and n_new else (None, 0)
         pairs = []
         if n_known:
             pairs.append(known.select("kind", F.col("old").alias("id_a"), F.col("old").alias("id_b")))
         if n_hits:
-            old = self.shelf("members", self._touched(hits, "accepted")[0]).select(F.col("class").alias("accepted"), F.col("id").alias("id_old"))
+            old = self.shelf("members", self._touched(hits, "accepted")).select(F.col("class").alias("accepted"), F.col("id").alias("id_old"))
             near = old.join(small(hits, n_hits), "accepted").join(texts.select("class", "id"), "class")
             pairs.append(near.select("kind", F.least("id", "id_old").alias("id_a"), F.greatest("id", "id_old").alias("id_b")))
         found = None
@@ -304,14 +307,13 @@ class History:
         self.generations += 1
 
     def _matches(self, new: DataFrame, n_new: int, small) -> tuple[DataFrame, int]:
-        """(kind, class, accepted): the accepted classes that the classes of ``new`` repeat."""
+        """(kind, class, accepted): the accepted classes that the classes of ``new``, which probe ``n_new`` cells, repeat."""
         probes = filed(new)
-        touched, n_probes = self._touched(probes, "cell")
-        q, x = probes.alias("q"), self.shelf("cells", touched).alias("x")
+        q, x = probes.alias("q"), self.shelf("cells", self._touched(probes, "cell")).alias("x")
         need = F.ceil(F.greatest("q.size", "x.size") * SHARE - 1e-9)
         flipped = sum((F.bit_count(F.col(f"q.s{i}").bitwiseXOR(F.col(f"x.s{i}"))) for i in range(4)), F.lit(0))
         met = (
-            x.join(small(q, n_probes), F.col("q.cell") == F.col("x.cell"))
+            x.join(small(q, n_new), F.col("q.cell") == F.col("x.cell"))
             .where(F.least("q.size", "x.size") >= need)
             .where(1 + F.least(F.col("q.size") - F.col("q.pos") - 1, F.col("x.size") - F.col("x.pos") - 1) >= need)
             .where(flipped <= F.col("q.size") + F.col("x.size") - 2 * need)
@@ -321,14 +323,14 @@ class History:
         met, n_met = self.ws.save(met, "met")
         if not n_met:
             return met, 0
-        right = self.shelf("texts", self._touched(met, "met")[0]).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("kind").alias("xkind"), F.col("words").alias("xw"))
+        right = self.shelf("texts", self._touched(met, "met")).select(F.col("vid").alias("met"), F.col("class").alias("accepted"), F.col("kind").alias("xkind"), F.col("words").alias("xw"))
         left = new.select("vid", "kind", "class", F.col("words").alias("qw"))
 
         @F.pandas_udf("boolean")
         def same(a: pd.Series, b: pd.Series) -> pd.Series:
             return pd.Series([repeats(x.split(" "), y.split(" ")) for x, y in zip(a, b)], dtype=bool)
 
-        near = right.join(small(met, n_met), "met").join(small(left, 10 * n_new), "vid").where("kind = xkind")
+        near = right.join(small(met, n_met), "met").join(small(left, n_new), "vid").where("kind = xkind")
         found = self.ws.save(near.where(same("qw", "xw")).select("kind", "class", "accepted"), "hits")
         self.ws.drop(met)
         return found
