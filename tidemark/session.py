@@ -9,7 +9,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SETTINGS = {
@@ -63,14 +63,14 @@ class Workspace:
         self.count += 1
         return f"{self.root}/{self.count:04d}-{label}"
 
-    def save(self, df: DataFrame, label: str = "t", partition_by: str | None = None) -> tuple[DataFrame, int]:
-        """The stored table and its number of rows, counted while it is written."""
+    def save(self, df: DataFrame, label: str = "t", partition_by: str | None = None, measure: Column | None = None) -> tuple[DataFrame, int]:
+        """The stored table and its number of rows, or another aggregate of them, found while it is written."""
         at, seen = self.path(label), Observation()
-        writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.option("compression", "zstd")
+        writer = df.observe(seen, (F.count(F.lit(1)) if measure is None else measure).alias("n")).write.option("compression", "zstd")
         (writer.partitionBy(partition_by) if partition_by else writer).parquet(at)
         back = self.spark.read.schema(df.schema).parquet(at)
         back._tidemark_at = at
-        return back, int(seen.get["n"])
+        return back, int(seen.get["n"] or 0)
 
     def read(self, tables: list[DataFrame]) -> DataFrame:
         """Several stored tables of one schema as one scan."""
