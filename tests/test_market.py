@@ -55,3 +55,9 @@ def test_wide_to_long_and_ticks(spark):
     ticks = spark.createDataFrame([("A", dt.datetime(2025, 1, 1, 9), 1, 5.0), ("A", dt.datetime(2025, 1, 1, 9), 0, 4.0), ("A", dt.datetime(2025, 1, 1, 10), 2, None)], "s string, t timestamp, i int, p double")
     r = market.bars_from_ticks(ticks, "s", "t", "p", "i").first()
     assert (r["Open"], r["Close"], r["Volume"]) == (4.0, 5.0, 2)
+
+
+def test_merge_knows_symbols_in_any_form(spark):
+    daily_ = spark.createDataFrame([(dt.date(2025, 1, 1), " abc", 1)], "day date, symbol string, n int")
+    bars = spark.createDataFrame([(dt.date(2025, 1, 1), "Abc ", 2.0)], "day date, symbol string, Close double")
+    assert [tuple(r) for r in market.merge_features(daily_, bars).select("symbol", "n", "Close").collect()] == [("ABC", 1, 2.0)]

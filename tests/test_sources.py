@@ -1,9 +1,10 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark import annotate, cli
+from tidemark import annotate, cli, session
 from tidemark.operators import clean, requests
 from tidemark.sources import readers, sinks
 from tidemark.sources.replies import reply_lines
@@ -52,7 +53,9 @@ def test_day_sink_skips_or_replaces(spark, tmp_path):
 def test_lists(spark, tmp_path):
     p = tmp_path / "ids.txt"
     p.write_text("﻿a\n\n b \na\n", encoding="utf-8")
-    assert sorted(r[0] for r in readers.read_ids(spark, str(p)).collect()) == ["a", "b"]
+    assert [r[0] for r in readers.read_ids(spark, str(p)).collect()] == ["a", "b"]
+    p.write_text("z\na\nz\nm\n", encoding="utf-8")
+    assert [r[0] for r in readers.read_ids(spark, str(p)).collect()] == ["z", "a", "m"]
     p = tmp_path / "missing.txt"
     p.write_text("['abc'], # note\n# comment\n\nx y\n", encoding="utf-8")
     assert sorted(r[0] for r in readers.read_symbols(spark, str(p)).collect()) == ["ABC", "X"]
@@ -68,11 +71,8 @@ def test_requests_round_trip_through_the_annotator(spark, tmp_path):
     assert sorted(x["custom_id"] for x in r.collect()) == ["sub:p1:0000", "sub:p1:0001", "sub:p2:0000"]
     rows = sinks.write_request_parts(r, str(tmp_path / "req"), per_part=2)
     assert [(x["part"], x["requests"]) for x in rows] == [(0, 2), (1, 1)] and sum(x["docs"] for x in rows) == 16 + 3
-    files = []
-    for x in rows:
-        target = tmp_path / f"part-{x['part']:05d}.jsonl"
-        target.write_text("".join(f.read_text(encoding="utf-8") for f in sorted((tmp_path / "req" / f"part={x['part']}").glob("*.txt"))), encoding="utf-8")
-        files.append(target)
+    files = sorted((tmp_path / "req").glob("part-*.jsonl"))
+    assert [str(f) for f in files] == [x["path"] for x in rows] and not (tmp_path / "req" / "_parts").exists()
     first = json.loads(files[0].read_text(encoding="utf-8").splitlines()[0])
     assert first["body"]["input"][1]["content"].startswith("Return JSON only") and first["custom_id"] == "sub:p2:0000"
     out = tmp_path / "results"
@@ -80,8 +80,9 @@ def test_requests_round_trip_through_the_annotator(spark, tmp_path):
     assert annotate.outstanding(files, out) == []
     (out / "part-00000.errors.jsonl").write_text("{}\n")
     assert reply_lines(spark, str(out)).count() == 3
-    sinks.write_manifest(rows, str(tmp_path / "manifest.json"))
-    assert json.loads((tmp_path / "manifest.json").read_text())["requests"] == 3
+    sinks.write_manifest(spark, rows, str(tmp_path / "manifest.json"), kind="rs", start=None)
+    kept = json.loads((tmp_path / "manifest.json").read_text())
+    assert (kept["requests"], kept["docs"], kept["kind"], kept["start"]) == (3, 19, "rs", None)
 
 
 def test_numbering_without_a_single_task(spark):
@@ -177,11 +178,101 @@ def test_settings_order(tmp_path):
     assert (a.window_seconds, a.kind, a.drop_nsfw, a.scope) == (7, "rc", True, "history")
 
 
-def test_cli_stages_run_end_to_end(spark, tmp_path, monkeypatch):
+def test_default_communities(spark):
+    raw = [json.dumps({"id": s, "created_utc": 1, "subreddit": s}) for s in ("PennyStocks", "options", "stocks")]
+    lines = spark.createDataFrame([(r,) for r in raw], "line string")
+    assert sorted(r["id"] for r in readers.parse_records(lines, "rs").collect()) == ["PennyStocks", "stocks"]
+
+
+def test_ended_batches_keep_what_they_have(tmp_path):
+    class Client:
+        def submit(self, path):
+            return path.name
+
+        def status(self, batch):
+            return "expired" if batch != "part-00002.jsonl" else "cancelled"
+
+        def output(self, batch):
+            return ["{}"] if batch == "part-00000.jsonl" else []
+
+    files = [tmp_path / f"part-0000{i}.jsonl" for i in range(3)]
+    for f in files:
+        f.write_text("{}")
+    out = tmp_path / "out"
+    assert set(annotate.collect(Client(), files, out, sleep=lambda s: None).values()) == {"expired", "cancelled"}
+    assert sorted(p.name for p in out.iterdir()) == ["part-00000.jsonl", "part-00001.errors.jsonl", "part-00002.errors.jsonl"]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master, applicationId = "spark://host:7077", "x"
+
+    with pytest.raises(ValueError):
+        session.shared_dir(Session())
+    assert session.shared_dir(spark)
+
+
+class Prices:
+    """Bars of every day but for the symbol GONE; ends are exclusive."""
+
+    def bars(self, symbols, start, end):
+        assert end == "2025-05-04"
+        return [{"symbol": s.lower(), "day": dt.date(2025, 5, d), "Open": 1.0, "High": 2.0, "Low": 0.5, "Close": float(d), "Adj Close": float(d), "Volume": 10} for s in symbols if s != "GONE" for d in (1, 2, 3, 4)]
+
+
+class Annotator(annotate.OfflineAnnotator):
+    """Names two tickers for each item."""
+
+    def output(self, batch):
+        return [x.replace('\\"tickers\\": []', '\\"tickers\\": [' + ", ".join('{\\"symbol\\": \\"%s\\", \\"label\\": \\"positive\\", \\"score\\": 0.5, \\"conf\\": 0.9}' % s for s in ("abc", "gone")) + "]") for x in super().output(batch)]
+
+
+def test_every_cli_stage_runs_end_to_end(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setattr(cli, "build_session", lambda master: spark)
-    raw = tmp_path / "raw.jsonl"
-    raw.write_text("\n".join(RAW), encoding="utf-8")
-    cli.main(["ingest", "--kind", "rs", "--input", str(raw), "--output", str(tmp_path / "raw")])
-    cli.main(["clean", "--kind", "rs", "--input", str(tmp_path / "raw"), "--output", str(tmp_path / "clean")])
-    assert sorted(r["id"] for r in spark.read.parquet(str(tmp_path / "clean")).collect()) == ["a1", "a2"]
-    assert [r["id"] for r in clean.clean_submissions(spark.read.parquet(str(tmp_path / "raw"))).collect()] == ["a1"]
+    at = lambda name: str(tmp_path / name)
+    posts = [{"id": f"p{i}", "created_utc": 1746057600 + 86400 * (i % 3) + i, "subreddit": "Stocks", "title": f"ABC number {i}", "selftext": f"Buying ABC for reason {i}", "score": i, "num_comments": 3, "author": f"u{i}", "over_18": False} for i in range(6)]
+    comments = [{"id": f"c{i}", "created_utc": 1746057700 + 86400 * (i % 3) + i, "subreddit": "stocks", "body": f"I like it, reason number {i}", "score": 1, "author": f"v{i}", "parent_id": "t3_p0", "link_id": "t3_p0"} for i in range(4)]
+    for name, rows in (("rs.jsonl", posts), ("rc.jsonl", comments)):
+        (tmp_path / name).write_text("\n".join(map(json.dumps, rows)) + "\n{broken\n", encoding="utf-8")
+    (tmp_path / "prompt.txt").write_text("Say what you see.\nOnly JSON.", encoding="utf-8")
+    for kind in ("rs", "rc"):
+        cli.main(["ingest", "--kind", kind, "--input", at(f"{kind}.jsonl"), "--output", at(f"raw-{kind}"), "--log", at("logs/run.log")])
+        cli.main(["clean", "--kind", kind, "--input", at(f"raw-{kind}"), "--output", at(f"clean-{kind}")])
+    log = (tmp_path / "logs" / "run.log").read_text()
+    assert "DONE (rs) rs.jsonl" in log and "lines=7 kept=6" in log and "lines=5 kept=4" in log
+    cli.main(["prepare", "--input", at("clean-rs"), "--comments", at("clean-rc"), "--output", at("requests"), "--prompt", at("prompt.txt"), "--per-part", "4", "--max-days", "2"])
+    manifest = json.loads((tmp_path / "requests" / "manifest.json").read_text())
+    assert manifest["requests"] == 4 and [p["requests"] for p in manifest["parts"]] == [4]
+    assert json.loads((tmp_path / "requests" / "part-00000.jsonl").read_text().splitlines()[0])["body"]["input"][0]["content"] == "Say what you see.\nOnly JSON."
+    cli.main(["submit", "--input", at("requests"), "--output", at("replies"), "--client", f"{__name__}:Annotator", "--pause", "0"])
+    cli.main(["parse", "--kind", "rs", "--input", at("clean-rs"), "--replies", at("replies"), "--output", at("annotated")])
+    assert "DONE (parse rs) docs=6 with_tickers=4" in capsys.readouterr().out
+    assert sorted(r["id"] for r in spark.read.json(at("annotated-failed")).collect()) == ["p2", "p5"]
+    (tmp_path / "alias.csv").write_text("raw,normalized\nabc,ABCD\n")
+    cli.main(["explode", "--input", at("annotated"), "--output", at("mentions"), "--aliases", at("alias.csv")])
+    mentions = readers.read_days(spark, at("mentions"))
+    moved = mentions.where("id = 'p0' AND symbol = 'ABCD'").withColumn("created_utc", F.col("created_utc") + 3 * 86400)
+    sinks.write_days(mentions.unionByName(moved.withColumn("id", F.lit("px"))), at("mixed"))  # a row of another day at this place
+    cli.main(["daily", "--input", at("mixed"), "--output", at("daily")])
+    rows = {(r["symbol"], str(r["day"])): r["chatter_count"] for r in spark.read.parquet(at("daily")).collect()}
+    assert rows == {(s, f"2025-05-0{d}"): 2 for s in ("ABCD", "GONE") for d in (1, 2)}
+    window = ["--start", "2025-05-01", "--end", "2025-05-03", "--client", f"{__name__}:Prices", "--pause", "0"]
+    cli.main(["fetch-prices", "--input", at("daily"), "--output", at("prices"), *window])
+    assert spark.read.parquet(at("prices")).count() == 3 and [r[0] for r in spark.read.text(at("prices-missing")).collect()] == ["GONE"]
+    (tmp_path / "again.csv").write_text("raw,normalized\nGONE,OTHER\n")
+    for _ in range(2):
+        cli.main(["refetch", "--seeds", at("prices-missing"), "--aliases", at("again.csv"), "--output", at("prices"), *window])
+    assert sorted({r["symbol"] for r in spark.read.parquet(at("prices")).collect()}) == ["ABCD", "GONE"] and spark.read.parquet(at("prices")).count() == 6
+    cli.main(["merge", "--input", at("daily"), "--prices", at("prices"), "--output", at("merged")])
+    cli.main(["enrich", "--input", at("merged"), "--output", at("features"), "--start", "2025-05-02"])
+    done = spark.read.parquet(at("features")).collect()
+    assert sorted(r["symbol"] for r in done) == ["ABCD", "GONE"] and {r["Close"] for r in done} == {2.0}
+    cli.main(["prepare", "--form", "v3", "--kind", "rc", "--input", at("clean-rc"), "--posts", at("clean-rs"), "--output", at("grouped"), "--per-request", "2"])
+    assert json.loads((tmp_path / "grouped" / "manifest.json").read_text())["docs"] == 4

@@ -28,6 +28,13 @@ class PriceSource(Protocol):
     def bars(self, symbols: Sequence[str], start: str, end: str) -> list[dict]: ...
 
 
+class NoPrices:
+    """A source without any bars, for runs without one."""
+
+    def bars(self, symbols: Sequence[str], start: str, end: str) -> list[dict]:
+        return []
+
+
 @dataclass
 class OfflineAnnotator:
     """Answers every request with one empty result per item; states pass through one pending step."""
@@ -60,7 +67,8 @@ def outstanding(requests: Iterable[Path], results: Path, retry_failed: bool = Tr
 
 
 def collect(client: BatchClient, requests: Iterable[Path], results: Path, in_flight: int = 10, poll_seconds: float = 15, retry_failed: bool = True, sleep: Callable[[float], None] = time.sleep) -> dict[str, str]:
-    """Keep up to ``in_flight`` batches running until all have ended; results and error markers go to files."""
+    """Keep up to ``in_flight`` batches running until all have ended; what they have put out goes to files, and an error
+    marker where there is nothing."""
     results.mkdir(parents=True, exist_ok=True)
     waiting, running, ended = deque(outstanding(requests, results, retry_failed)), {}, {}
     while waiting or running:
@@ -72,8 +80,9 @@ def collect(client: BatchClient, requests: Iterable[Path], results: Path, in_fli
             if state in ENDED:
                 del running[batch]
                 ended[path.name] = state
-                if state == "completed":
-                    (results / path.name).write_text("\n".join(client.output(batch)) + "\n", encoding="utf-8")
+                lines = client.output(batch)  # ended batches keep the outputs they have, whatever their state
+                if lines:
+                    (results / path.name).write_text("\n".join(lines) + "\n", encoding="utf-8")
                 else:
                     (results / f"{path.stem}.errors.jsonl").write_text(json.dumps({"file": path.name, "status": state}) + "\n", encoding="utf-8")
         if running:
@@ -99,7 +108,9 @@ def with_retries(call: Callable[[], list[dict]], tries: int = 3, first_wait: flo
 
 
 def fetch_bars(source: PriceSource, symbols: Sequence[str], start: str, end: str, batch: int = 75, pause: float = 3.0, sleep: Callable[[float], None] = time.sleep) -> tuple[list[dict], list[str]]:
-    """Bars of all symbols in batches, each missing symbol once more by itself; and the symbols without any."""
+    """Bars of all symbols in batches, each missing symbol once more by itself; and the symbols without any. Sources may
+    write a symbol in other case or with blanks."""
+    found = lambda rows: {r["symbol"].strip().upper() for r in rows}
     rows: list[dict] = []
     wanted = sorted(set(symbols))
     for i in range(0, len(wanted), batch):
@@ -107,7 +118,9 @@ def fetch_bars(source: PriceSource, symbols: Sequence[str], start: str, end: str
             sleep(pause)
         part = wanted[i : i + batch]
         got = with_retries(lambda part=part: source.bars(part, start, end), sleep=sleep)
-        for s in sorted(set(part) - {r["symbol"] for r in got}):
+        had = found(got)
+        for s in [s for s in part if s.strip().upper() not in had]:
             got = got + with_retries(lambda s=s: source.bars([s], start, end), sleep=sleep)
         rows += got
-    return rows, sorted(set(wanted) - {r["symbol"] for r in rows})
+    had = found(rows)
+    return rows, [s for s in wanted if s.strip().upper() not in had]

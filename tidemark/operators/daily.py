@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import coerce
 from tidemark.functions.keys import symbol_key
+from tidemark.operators.market import require_unique
 
 KEY = ["day", "symbol"]
 
@@ -15,14 +16,25 @@ def usable_mentions(df: DataFrame, partition_day: str = "__day__") -> DataFrame:
     """Mentions with a symbol and a sentiment whose day is the day of their partition; a missing time is that day."""
     return (
         df.withColumn("symbol", symbol_key("symbol"))
-        .withColumn("day", F.coalesce(coerce.epoch_day(F.col("created_utc").cast("bigint")), F.col(partition_day)))
-        .where(F.col("symbol").isNotNull() & F.col("sentiment_score").isNotNull() & (F.col("day") == F.col(partition_day)))
+        .withColumn("__partition", F.col(partition_day))  # which may be ``day`` itself
+        .withColumn("day", F.coalesce(coerce.epoch_day(F.col("created_utc").cast("bigint")), F.col("__partition")))
+        .where(F.col("symbol").isNotNull() & F.col("sentiment_score").isNotNull() & (F.col("day") == F.col("__partition")))
+        .drop("__partition")
         .withColumn("score", F.coalesce(F.col("score").cast("double"), F.lit(0.0)))
         .withColumn("num_comments", F.coalesce(F.col("num_comments").cast("double"), F.lit(0.0)))
         .withColumn("conf", coerce.unit_interval("conf"))
     )
 
 
+def with_document_fields(mentions: DataFrame, documents: DataFrame) -> DataFrame:
+    """Mentions with the fields of their annotated document (id unique, else reading fails), as the first version joined
+    them: a field that both have is taken from the mention, and from the document where that is null."""
+    taken = [c for c in ("created_utc", "score", "num_comments", "subreddit", "author") if c in documents.columns]
+    d = require_unique(documents.select("id", *taken), ["id"]).select("id", *(F.col(c).alias(f"__{c}") for c in taken))
+    joined = mentions.join(d, "id", "left")
+    return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"__{c}")) if c in mentions.columns else F.col(f"__{c}") for c in taken}).drop(*(f"__{c}" for c in taken))
+
+
 def dominant_asset(mentions: DataFrame) -> DataFrame:
     """The most frequent asset type of a day and symbol; the alphabetically first of equally frequent ones."""
     counts = mentions.where("asset_type IS NOT NULL").groupBy(*KEY, "asset_type").count()

@@ -49,13 +49,17 @@ def peel(links: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
             break
         ws.drop(now)
         now, n = further, m
-    caught = now.select(F.col("v").alias("k"))
+    held, caught = now, now.select(F.col("v").alias("k"))
     core, size = ws.save(now.select(F.col("to").alias("k")).distinct(), "core")
     while n and size < n:  # tails that lead into circles are still to be peeled
         further, _ = ws.save(jump(now), "tail")
         smaller, m = ws.save(further.select(F.col("to").alias("k")).distinct(), "core")
         if m == size:
+            ws.drop(further, smaller)
             break
+        if now is not held:
+            ws.drop(now)
+        ws.drop(core)
         now, core, size = further, smaller, m
     return core, caught
 

@@ -77,11 +77,12 @@ def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def merge_features(daily: DataFrame, bars: DataFrame, validate: bool = True) -> DataFrame:
-    """Daily features with the bar of the same symbol and day; days without a bar fall out."""
-    d = daily.withColumn("symbol", symbol_key("symbol"))
-    return d.join(require_unique(bars, ["symbol", "day"]) if validate else bars, ["symbol", "day"])
+    """Daily features with the bar of the same symbol (apart from case and outer blanks) and day; days without a bar fall out."""
+    d, b = (x.withColumn("symbol", symbol_key("symbol")) for x in (daily, bars))
+    return d.join(require_unique(b, ["symbol", "day"]) if validate else b, ["symbol", "day"])
 
 
+#: Columns of the modelling table (fixed values).
 LAGGED = (
     "chatter_count", "unique_authors", "user_concentration", "sent_mean", "sent_weighted", "avg_conf", "median_conf", "engagement_sum",
     "comments_sum", "score_sum", "subreddit_entropy", "forward_true_count", "forward_share", "value_mean", "value_median",

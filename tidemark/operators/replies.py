@@ -157,6 +157,11 @@ def annotate(clean: DataFrame, notes: DataFrame, kind: str) -> DataFrame:
     return joined.withColumn("ticker_items", items).withColumn("tickers", F.col("ticker_items.symbol")).withColumn("kind", F.lit("submission" if kind == "rs" else "comment"))
 
 
+def counters() -> list[Column]:
+    """What is counted while annotated documents are written: all of them, and those that name a ticker."""
+    return [F.count(F.lit(1)).alias("docs"), F.count_if(F.size("tickers") > 0).alias("with_tickers")]
+
+
 def without_reply(clean: DataFrame, notes: DataFrame) -> DataFrame:
     """The ids for which no reply came."""
     return clean.select("id").join(notes.select("id"), "id", "left_anti")

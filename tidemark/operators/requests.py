@@ -28,6 +28,11 @@ def comments_of(comments: DataFrame, posts: DataFrame) -> DataFrame:
     return comments.join(posts.select(thread_key("id").alias("__k")).distinct(), thread_key("link_id") == F.col("__k"), "left_semi")
 
 
+def with_ids(posts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The posts whose id a list names."""
+    return posts.join(ids.select("id"), "id", "left_semi")
+
+
 def with_context(comments: DataFrame, posts: DataFrame) -> DataFrame:
     """Comments with the text of their post of the same day, '' where there is none."""
     p = posts.select(F.col("day").alias("__d"), thread_key("id").alias("__k"), F.col("text").alias("context"))
@@ -44,14 +49,17 @@ def numbered(df: DataFrame, group: list[str], order: list[str], size: int) -> Da
 def numbered_globally(df: DataFrame, order: list[str], size: int) -> DataFrame:
     """``df`` with pos (0-based) and part = pos div size over all rows, without a single-task window.
 
-    The rows are range-partitioned by ``order``, sorted and stored in the shared folder with their place in their
-    partition; the sizes of the partitions before (one row per partition) are added to it.
+    The rows are stored, for the ranges are found by a pass of their own; then range-partitioned by ``order``, sorted and
+    stored with their place in their partition, to which the sizes of the partitions before (one row each) are added.
     """
     spark = df.sparkSession
+    ws = Workspace(spark, "numbered")
+    rows, _ = ws.save(df, "rows")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = df.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__p", F.spark_partition_id())
     placed = placed.withColumn("__m", F.monotonically_increasing_id() - F.shiftleft(F.col("__p").cast("bigint"), 33))
-    stored, _ = Workspace(spark, "numbered").save(placed, "placed")
+    stored, _ = ws.save(placed, "placed")
+    ws.drop(rows)
     sizes = stored.groupBy("__p").agg(F.count(F.lit(1)).alias("__n"))
     before = sizes.select(F.col("__p").alias("__q"), F.coalesce(F.sum("__n").over(W.orderBy("__p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__b"))
     return stored.join(F.broadcast(before), F.col("__p") == F.col("__q")).withColumn("pos", F.col("__b") + F.col("__m")).withColumn("part", F.expr(f"pos div {size}")).drop("__p", "__q", "__m", "__b")

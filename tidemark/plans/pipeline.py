@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import coerce, text
 from tidemark.functions.keys import symbol_key, thread_key
 from tidemark.operators import clean, daily, market, replies, requests
-from tidemark.session import table
-from tidemark.sources import readers
+from tidemark.session import Workspace, table
+from tidemark.sources import readers, sinks
+from tidemark.sources.replies import reply_lines
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -292,7 +293,7 @@ def qa_counters(spark: SparkSession, d: str) -> DataFrame:
 # ---- filters, scans, set operations
 
 
-@query("SELECT id, batch_no, arrived_at, subreddit FROM submissions WHERE lower(subreddit) IN ('wallstreetbets', 'stocks', 'investing', 'stockmarket', 'trading', 'options')")
+@query("SELECT id, batch_no, arrived_at, subreddit FROM submissions WHERE lower(subreddit) IN ('stocks', 'wallstreetbets', 'investing', 'trading', 'stockmarket', 'pennystocks')")
 def filter_isin_ci(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "submissions").where(F.lower("subreddit").isin(*readers.SUBREDDITS)).select("id", "batch_no", "arrived_at", "subreddit")
 
@@ -312,19 +313,37 @@ def filter_min_len(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "comments").select("id", "batch_no", "arrived_at", text.clipped(F.col("body"), 1500).alias("text")).where(F.length("text") >= 20)
 
 
-@query("SELECT strftime(__day__, '%Y-%m') AS month, count(*) AS n, count(DISTINCT symbol) AS symbols FROM exploded GROUP BY 1")
+def _by_day(spark: SparkSession, d: str, name: str, day: str = "day") -> str:
+    """A table written by day to the shared folder, to be read as the stages read theirs."""
+    root = Workspace(spark, "days").path(name)
+    sinks.write_days(table(spark, d, name).withColumn("day", F.col(day)).where("day IS NOT NULL"), root)
+    return root
+
+
+@query("SELECT strftime(__day__, '%Y-%m') AS month, count(*) AS n, count(DISTINCT symbol) AS symbols, count(DISTINCT __day__) AS days FROM exploded WHERE __day__ IS NOT NULL GROUP BY 1")
 def scan_partitions(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "exploded").groupBy(F.date_format("__day__", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("symbols"))
+    """All parts of all stored days; the days are told by their folders."""
+    root = _by_day(spark, d, "exploded", "__day__")
+    months = spark.createDataFrame([(x,) for x in sorted(sinks.stored_days(spark, root))], "day string").groupBy(F.substring("day", 1, 7).alias("month")).agg(F.count("day").alias("days"))
+    rows = readers.read_days(spark, root).groupBy(F.date_format("day", "yyyy-MM").alias("month")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("symbol").alias("symbols"))
+    return rows.join(F.broadcast(months), "month")
 
 
 @query("SELECT symbol, day, chatter_count FROM reddit_daily WHERE day BETWEEN DATE '2025-07-01' AND DATE '2025-07-15'")
 def scan_date_range(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "reddit_daily").where(F.col("day").between("2025-07-01", "2025-07-15")).select("symbol", "day", "chatter_count")
+    return readers.read_days(spark, _by_day(spark, d, "reddit_daily"), "2025-07-01", "2025-07-15", ["symbol", "day", "chatter_count"])
+
+
+@query("SELECT symbol, day, chatter_count FROM reddit_daily WHERE day = DATE '2025-07-07'")
+def scan_day(spark: SparkSession, d: str) -> DataFrame:
+    return readers.read_days(spark, _by_day(spark, d, "reddit_daily"), "2025-07-07", "2025-07-07", ["symbol", "day", "chatter_count"])
 
 
-@query("SELECT symbol, count(*) AS n, sum(engagement_sum) AS engagement FROM reddit_daily GROUP BY symbol")
+@query("SELECT symbol, count(*) AS n, sum(engagement_sum) AS engagement, NULL::VARCHAR AS absent FROM reddit_daily WHERE day IS NOT NULL GROUP BY symbol")
 def scan_projection(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "reddit_daily").groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("engagement_sum").alias("engagement"))
+    """Two columns of a stored table, and one that it lacks."""
+    few = readers.read_days(spark, _by_day(spark, d, "reddit_daily"), columns=["symbol", "engagement_sum", "absent"])
+    return few.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("engagement_sum").alias("engagement"), F.max(F.col("absent").cast("string")).alias("absent"))
 
 
 @query("SELECT symbol, day, chatter_count FROM (SELECT DISTINCT symbol, day, chatter_count FROM reddit_daily) ORDER BY chatter_count DESC, symbol, day LIMIT 100")
@@ -335,9 +354,9 @@ def sort_limit(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT day, count(*) AS n FROM reddit_daily WHERE day IN (SELECT DISTINCT day FROM reddit_daily ORDER BY day LIMIT 5) GROUP BY day")
 def limit_smoke(spark: SparkSession, d: str) -> DataFrame:
-    """The rows of the first five days (the smoke-test limit on partitions)."""
-    df = table(spark, d, "reddit_daily")
-    return df.join(df.select("day").distinct().orderBy("day").limit(5), "day", "left_semi").groupBy("day").agg(F.count(F.lit(1)).alias("n"))
+    """The rows of the first five stored days (the limit of trial runs)."""
+    root = _by_day(spark, d, "reddit_daily")
+    return readers.first_days(readers.read_days(spark, root), root, 5).groupBy("day").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SYMBOL = "nullif(upper(regexp_replace(symbol, '^[\\s\\x{00A0}]+|[\\s\\x{00A0}]+$', '', 'g')), '')"
@@ -350,7 +369,11 @@ def distinct_symbols(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT {_SYMBOL} AS symbol FROM reddit_daily EXCEPT SELECT {_SYMBOL} FROM prices")
 def missing_symbols(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "reddit_daily").select(symbol_key("symbol").alias("symbol")).subtract(table(spark, d, "prices").select(symbol_key("symbol")))
+    """Symbols without a price, written as a list and read back."""
+    missing = table(spark, d, "reddit_daily").select(symbol_key("symbol").alias("symbol")).subtract(table(spark, d, "prices").select(symbol_key("symbol")))
+    at = Workspace(spark, "lists").path("missing")
+    sinks.write_symbols(missing, at)
+    return readers.read_symbols(spark, at)
 
 
 @query("SELECT id, subreddit, score, num_comments, NULL::VARCHAR AS link_id, batch_no FROM submissions UNION ALL SELECT id, subreddit, score, NULL, link_id, batch_no FROM comments")
@@ -370,8 +393,10 @@ def comments_semi(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT id, batch_no, arrived_at FROM submissions WHERE id IN (SELECT submission_id FROM exploded WHERE conf > 0.9)")
 def seed_semi_join(spark: SparkSession, d: str) -> DataFrame:
-    seeds = table(spark, d, "exploded").where("conf > 0.9").select(F.col("submission_id").alias("id")).distinct()
-    return table(spark, d, "submissions").join(seeds, "id", "left_semi").select("id", "batch_no", "arrived_at")
+    """The submissions that a list of ids names, the list written and read back."""
+    at = Workspace(spark, "lists").path("seeds")
+    table(spark, d, "exploded").where("conf > 0.9 AND submission_id IS NOT NULL").select(F.col("submission_id")).write.text(at)
+    return requests.with_ids(table(spark, d, "submissions"), readers.read_ids(spark, at)).select("id", "batch_no", "arrived_at")
 
 
 @query("SELECT DISTINCT id FROM comments WHERE id NOT IN (SELECT id FROM exploded WHERE kind = 'comment')")
@@ -390,17 +415,21 @@ def parse_rc_semi(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "comments").join(table(spark, d, "exploded").where("kind = 'comment'").select("id"), "id", "left_semi").select("id", "batch_no", "arrived_at")
 
 
-@query("SELECT s.s_suppkey, s.s_name, coalesce(n.n_name, 'none') AS nation FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey")
+@query("""WITH docs AS (SELECT id, min(created_utc) AS created_utc, max(score) AS score, max(num_comments) AS num_comments, min(subreddit) AS subreddit, min(author) AS author FROM submissions GROUP BY id)
+    SELECT mention_id, coalesce(e.subreddit, d.subreddit) AS subreddit, d.created_utc, d.score, d.num_comments, coalesce(e.author, d.author) AS author FROM exploded e LEFT JOIN docs d ON e.id = d.id""")
 def join_left_m1(spark: SparkSession, d: str) -> DataFrame:
-    nation = market.require_unique(table(spark, d, "nation"), ["n_nationkey"])
-    s = table(spark, d, "supplier")
-    return s.join(nation, s.s_nationkey == nation.n_nationkey, "left").select("s_suppkey", "s_name", F.coalesce("n_name", F.lit("none")).alias("nation"))
+    """Mentions with the fields of their posts, as the first version of the daily table joined them."""
+    docs = table(spark, d, "submissions").groupBy("id").agg(F.min("created_utc").alias("created_utc"), F.max("score").alias("score"), F.max("num_comments").alias("num_comments"), F.min("subreddit").alias("subreddit"), F.min("author").alias("author"))
+    mentions = table(spark, d, "exploded").select("mention_id", "id", "subreddit", "author")
+    return daily.with_document_fields(mentions, docs).drop("id")
 
 
 @query("""SELECT mention_id, coalesce(l.symbol, e.symbol) AS symbol FROM exploded e LEFT JOIN symbol_list l ON upper(trim(e.symbol)) = upper(trim(l.name))""")
 def alias_join(spark: SparkSession, d: str) -> DataFrame:
-    aliases = table(spark, d, "symbol_list").select(F.col("name").alias("raw"), F.col("symbol").alias("normalized"))
-    return replies.apply_aliases(table(spark, d, "exploded").select("mention_id", "symbol"), "symbol", aliases)
+    """Symbols under their canonical names, by an alias file written and read back."""
+    at = Workspace(spark, "lists").path("aliases")
+    table(spark, d, "symbol_list").select(F.col("name").alias("raw"), F.col("symbol").alias("normalized")).write.option("header", "true").csv(at)
+    return replies.apply_aliases(table(spark, d, "exploded").select("mention_id", "symbol"), "symbol", readers.read_aliases(spark, at))
 
 
 # ---- requests
@@ -445,7 +474,7 @@ def chunk_rows(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _reply_lines(spark: SparkSession, d: str, kind: str) -> DataFrame:
-    """Mentions rendered as reply lines, one line per mention (so that the last line of a document wins)."""
+    """Mentions rendered as reply files, one line per mention (so that the last line of a document wins), and read again."""
     m = table(spark, d, "exploded").where(F.col("kind") == kind)
     key = "submission_id" if kind == "submission" else "comment_id"
     item = F.struct(
@@ -454,7 +483,10 @@ def _reply_lines(spark: SparkSession, d: str, kind: str) -> DataFrame:
     )
     content = F.array(F.struct(F.to_json(F.struct(F.array(item).alias("results"))).alias("text")))
     body = F.struct(F.lit("completed").alias("status"), F.array(F.struct(content.alias("content"))).alias("output"))
-    return m.select(F.lit("part-00000.jsonl").alias("file"), F.col("mention_id").alias("line_no"), F.to_json(F.struct(F.struct(body.alias("body")).alias("response"))).alias("line"))
+    lines = m.select("mention_id", F.to_json(F.struct(F.struct(body.alias("body")).alias("response"))).alias("line"))
+    at = Workspace(spark, "replies").path(kind)
+    sinks.write_parts(lines, ["mention_id"], at, 20_000)
+    return reply_lines(spark, at)
 
 
 
@@ -494,12 +526,13 @@ def explode_mentions(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""SELECT id, created_utc, coalesce(title, '') AS title, coalesce(selftext, '') AS selftext, coalesce(score, 0)::INTEGER AS score, coalesce(over_18, false) AS over_18, CAST(make_timestamp(created_utc * 1000000) AS DATE) AS day
-    FROM submissions WHERE lower(subreddit) IN ('wallstreetbets', 'stocks', 'investing', 'stockmarket', 'trading', 'options')""")
+    FROM submissions WHERE lower(subreddit) IN ('stocks', 'wallstreetbets', 'investing', 'trading', 'stockmarket', 'pennystocks')""")
 def ingest_jsonl(spark: SparkSession, d: str) -> DataFrame:
-    """Submissions rendered as raw JSON lines and ingested again."""
+    """Submissions written as raw JSON lines and ingested again."""
     s = table(spark, d, "submissions").drop("batch_no", "arrived_at")
-    lines = s.select(F.to_json(F.struct(*s.columns)).alias("line"))
-    return readers.parse_records(lines, "rs").select("id", "created_utc", "title", "selftext", "score", "over_18", "day")
+    at = Workspace(spark, "raw").path("rs")
+    s.select(F.to_json(F.struct(*s.columns)).alias("value")).write.text(at)
+    return readers.parse_records(readers.text_lines(spark, at), "rs").select("id", "created_utc", "title", "selftext", "score", "over_18", "day")
 
 
 # ---- earlier versions of requests, replies and features
@@ -532,5 +565,15 @@ def daily_features_first(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT day, symbol, field, round(value, 10) AS value FROM (UNPIVOT (SELECT day, symbol, \"Open\", \"High\", \"Low\", \"Close\" FROM prices) ON \"Open\", \"High\", \"Low\", \"Close\" INTO NAME field VALUE value) WHERE value IS NOT NULL")
 def wide_to_long(spark: SparkSession, d: str) -> DataFrame:
-    p = table(spark, d, "prices").select("day", "symbol", "Open", "High", "Low", "Close")
-    return rounded(p.unpivot(["day", "symbol"], ["Open", "High", "Low", "Close"], "field", "value").where("value IS NOT NULL"))
+    """Price columns, named as sources name theirs, as rows; the place of the day is taken by the day and symbol."""
+    fields = ["Open", "High", "Low", "Close"]
+    wide = table(spark, d, "prices").select(F.struct("day", "symbol").alias("key"), *(F.col(c).alias(f"{c}|value") for c in fields))
+    rows = market.wide_to_long(wide, "key", fields, ["value"])
+    return rounded(rows.select("day.day", "day.symbol", F.col("symbol").alias("field"), "value"))
+
+
+@query(f"""WITH {_notes("comment")} SELECT count(*) AS docs, count(*) FILTER (WHERE n.symbol IS NOT NULL) AS with_tickers FROM (SELECT DISTINCT id FROM comments) c JOIN notes n USING (id)""")
+def qa_tickers(spark: SparkSession, d: str) -> DataFrame:
+    """How many comments have an annotation, and how many of these name a ticker."""
+    notes = replies.annotations(_reply_lines(spark, d, "comment"), "rc")
+    return replies.annotate(table(spark, d, "comments").select("id").distinct(), notes, "rc").agg(*replies.counters())

@@ -35,10 +35,13 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where that is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Only a session on this one machine gets a temporary one
+    where that is unset (tests); on a cluster it must be set."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if where:
         return where
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         folder = tempfile.mkdtemp(prefix="tidemark-")
@@ -47,6 +50,16 @@ def shared_dir(spark: SparkSession) -> str:
     return _own[app]
 
 
+def _home(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Remove all that this application has left in the shared folder; results that are still to be read need it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_home(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 class Workspace:
     """Tables written to the shared folder, so that iterative operators survive the loss of executors.
 
@@ -56,7 +69,7 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        self.root = f"{_home(spark)}/{label}-{uuid.uuid4().hex}"
         self.count = 0
 
     def path(self, label: str) -> str:

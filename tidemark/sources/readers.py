@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import coerce, text
 from tidemark.session import ship
+from tidemark.sources import files
 
 SUBMISSION = "id string, created_utc bigint, subreddit string, title string, selftext string, score int, num_comments int, author string, permalink string, url string, over_18 boolean"
 COMMENT = "id string, created_utc bigint, subreddit string, body string, score int, author string, parent_id string, link_id string, permalink string"
 #: The communities kept by default (fixed values).
-SUBREDDITS = ("wallstreetbets", "stocks", "investing", "stockmarket", "trading", "options")
+SUBREDDITS = ("stocks", "wallstreetbets", "investing", "trading", "stockmarket", "pennystocks")
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +37,7 @@ def zstd_lines(spark: SparkSession, paths: Sequence[str], lines_per_batch: int =
 
         for batch in batches:
             for path in batch["path"]:
-                with open(path, "rb") as raw:
+                with files.opened(path) as raw:
                     stream = io.TextIOWrapper(zstandard.ZstdDecompressor(max_window_size=2**31).stream_reader(raw, read_across_frames=True), encoding="utf-8", errors="replace", newline="\n")
                     held: list[str] = []
                     start = 0
@@ -48,8 +49,8 @@ def zstd_lines(spark: SparkSession, paths: Sequence[str], lines_per_batch: int =
                     if held:
                         yield pd.DataFrame({"file": path, "line_no": range(start, start + len(held)), "line": held})
 
-    files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
-    return files.mapInPandas(read, "file string, line_no bigint, line string")
+    each = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, len(paths)))
+    return each.mapInPandas(read, "file string, line_no bigint, line string")
 
 
 def parse_records(lines: DataFrame, kind: str, subreddits: Sequence[str] = SUBREDDITS, drop_nsfw: bool = False) -> DataFrame:
@@ -79,7 +80,7 @@ def parse_records(lines: DataFrame, kind: str, subreddits: Sequence[str] = SUBRE
 
 def read_days(spark: SparkSession, root: str, start: dt.date | str | None = None, end: dt.date | str | None = None, columns: Sequence[str] | None = None) -> DataFrame:
     """A table partitioned by day, or its days from start to end (both inclusive; only their folders are read); unreadable
-    files are skipped, columns that some files lack are null."""
+    files are skipped (Spark logs a warning for each), columns that some files lack are null."""
     df = spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(root)
     if start is not None:
         df = df.where(F.col("day") >= F.lit(str(start)).cast("date"))
@@ -88,10 +89,19 @@ def read_days(spark: SparkSession, root: str, start: dt.date | str | None = None
     return df.select(*(F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns)) if columns else df
 
 
+def first_days(df: DataFrame, root: str, most: int) -> DataFrame:
+    """Of a table partitioned by day the first ``most`` days that are stored, told by their folders; the limit of trial runs."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration())
+    days = sorted(s.getPath().getName()[4:] for s in fs.listStatus(path) if s.getPath().getName().startswith("day="))
+    return df.where(F.col("day").cast("string").isin(*days[:most]))
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
-    """(id) of a text file: byte-order marks and outer blanks removed, blank lines dropped, each id once."""
+    """(id) of a text file: byte-order marks and outer blanks removed, blank lines dropped, each id once, in the order of the file."""
     ids = spark.read.text(path).select(F.trim(F.regexp_replace("value", "﻿", "")).alias("id"))
-    return ids.where("id <> ''").distinct()
+    first = ids.withColumn("n", F.monotonically_increasing_id()).where("id <> ''").groupBy("id").agg(F.min("n").alias("n"))
+    return first.orderBy("n").select("id")
 
 
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import glob
-import os
+import io
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import ship
+from tidemark.sources import files
 
 
 def reply_lines(spark: SparkSession, where: str | Sequence[str], lines_per_batch: int = 20_000) -> DataFrame:
@@ -19,12 +19,12 @@ def reply_lines(spark: SparkSession, where: str | Sequence[str], lines_per_batch
     """
     ship(spark)
     if isinstance(where, str):
-        where = [p for p in sorted(glob.glob(os.path.join(where, "part-*.jsonl"))) if not p.endswith(".errors.jsonl")] if os.path.isdir(where) else [where]
+        where = [p for p in files.matching(spark, f"{where}/part-*.jsonl") if not p.endswith(".errors.jsonl")] if files.is_folder(spark, where) else files.matching(spark, where)
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path in batch["path"]:
-                with open(path, encoding="utf-8", errors="replace") as f:
+                with io.TextIOWrapper(files.opened(path), encoding="utf-8", errors="replace", newline="\n") as f:
                     rows = []
                     for n, line in enumerate(f):
                         if line.strip():
@@ -34,5 +34,5 @@ def reply_lines(spark: SparkSession, where: str | Sequence[str], lines_per_batch
                             rows = []
                     yield pd.DataFrame(rows, columns=["file", "line_no", "line"])
 
-    files = spark.createDataFrame([(p,) for p in where], "path string").repartition(max(1, len(where)))
-    return files.mapInPandas(read, "file string, line_no bigint, line string")
+    each = spark.createDataFrame([(p,) for p in where], "path string").repartition(max(1, len(where)))
+    return each.mapInPandas(read, "file string, line_no bigint, line string")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.requests import numbered_globally
+from tidemark.sources import files
 
 
 def stored_days(spark: SparkSession, root: str) -> set[str]:
@@ -41,17 +42,32 @@ def write_single(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.mode("overwrite").parquet(path)
 
 
+def write_parts(rows: DataFrame, order: list[str], root: str, per_part: int) -> DataFrame:
+    """Column ``line`` in files part-NNNNN.jsonl of at most ``per_part`` lines, in ``order``; the rows with their part.
+
+    Each part is written by one task; only the finished files are moved on the driver.
+    """
+    spark, at = rows.sparkSession, f"{root}/_parts"
+    placed = numbered_globally(rows, order, per_part)
+    placed.repartition("part").sortWithinPartitions("part", "pos").select("part", F.col("line").alias("value")).write.mode("overwrite").partitionBy("part").text(at)
+    for only in files.matching(spark, f"{at}/part=*/part-*"):
+        part = int(only.rsplit("/", 2)[1].removeprefix("part="))
+        files.move(spark, only, f"{root}/part-{part:05d}.jsonl")
+    files.remove(spark, at)
+    return placed
+
+
 def write_request_parts(requests: DataFrame, root: str, per_part: int = 800) -> list[dict]:
-    """JSON lines in folders part=N of at most ``per_part`` lines, and their manifest."""
-    placed = numbered_globally(requests, ["created_utc", "sid", "chunk"], per_part)
-    placed.select("part", F.col("line").alias("value")).repartition("part").write.mode("overwrite").partitionBy("part").text(root)
+    """The requests in parts, oldest first; and the entries of their manifest."""
+    placed = write_parts(requests, ["created_utc", "sid", "chunk"], root, per_part)
     parts = placed.groupBy("part").agg(F.count(F.lit(1)).alias("requests"), F.sum(F.size("items")).alias("docs")).orderBy("part")
-    return [{"part": r["part"], "requests": r["requests"], "docs": r["docs"], "path": f"{root}/part={r['part']}"} for r in parts.toLocalIterator()]
+    return [{"part": r["part"], "requests": r["requests"], "docs": r["docs"], "path": f"{root}/part-{r['part']:05d}.jsonl"} for r in parts.toLocalIterator()]
 
 
-def write_manifest(rows: list[dict], path: str) -> None:
-    with open(path, "w", encoding="utf-8") as f:
-        json.dump({"parts": rows, "requests": sum(r["requests"] for r in rows), "docs": sum(r["docs"] or 0 for r in rows)}, f, indent=2)
+def write_manifest(spark: SparkSession, rows: list[dict], path: str, **about: str | int | None) -> None:
+    """The parts with their totals and what else is known of the run (kind, days, comments per request)."""
+    whole = {**about, "parts": rows, "requests": sum(r["requests"] for r in rows), "docs": sum(r["docs"] or 0 for r in rows)}
+    files.write_text(spark, path, json.dumps(whole, indent=2))
 
 
 def write_ids(ids: DataFrame, root: str) -> None:
