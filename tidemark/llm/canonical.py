@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import strip
-from tidemark.session import ship
+from tidemark.session import Workspace, ship
 
 #: One wrong, missing or extra letter takes at most two pairs from the larger of two sets of m pairs, which leaves a
 #: Jaccard coefficient of at least (m - 2) / (m + 2): the threshold is a matter of length.
@@ -30,6 +30,8 @@ LEAST_FUZZY = 5
 FRAME_ROWS = 4096
 #: Reference lists up to this many strings are broadcast; longer ones are joined by shuffles.
 BROADCAST_STRINGS = 100_000
+#: Letter pairs whose frequency is known; all others count as the rarest.
+RANKED = 50_000
 LEGAL_FORMS = frozenset("corp corporation holdings holding group co company ltd limited se plc inc incorporated ag sa nv llc lp gmbh".split())
 #: Words that stand around names; among others they name nothing, unless an entry is listed under one.
 CONTEXT = LEGAL_FORMS | frozenset("the a an of and or in on at to my all share shares stock stocks common equity ordinary us usd eu uk".split())
@@ -85,10 +87,29 @@ def prefix_rows(s: str, rarity: dict[str, int], lost: int = LOST_PAIRS) -> list[
     though one may stand for the other: they meet by the pair of ends.
     """
     ordered = sorted(pairs_of(s), key=lambda p: (rarity.get(p, 0), p))
-    rows = [(p, i) for i, p in enumerate(ordered[: lost + 1]) if p in rarity]
+    cut = len(rarity) >= RANKED  # pairs that are not ranked may then be among the entries all the same
+    rows = [(p, i) for i, p in enumerate(ordered[: lost + 1]) if cut or p in rarity]
     return [*rows, ("^$", 0)] if lost and len(s) == 1 else rows
 
 
+ENTRY = "symbol_ref string, kind string, rs string, inexact boolean, core string, rsize int, rpairs array<string>"
+
+
+def listed_entries(reference: DataFrame, symbol: str, name: str) -> DataFrame:
+    """The strings under which the entries are known, with their letter pairs."""
+
+    def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for sym, full in zip(batch["s"], batch["n"]):
+                strings = entry_strings(sym, full)
+                core = next((s for kind, s in strings if kind == "core"), "")
+                rows += [(sym, kind, s, may_be_misspelt(kind, s), core, len(pairs_of(s)), pairs_of(s)) for kind, s in strings]
+            yield pd.DataFrame(rows, columns=["symbol_ref", "kind", "rs", "inexact", "core", "rsize", "rpairs"])
+
+    return reference.select(F.col(symbol).alias("s"), F.col(name).alias("n")).where("s IS NOT NULL").distinct().mapInPandas(spell, ENTRY)
+
+
 def may_be_misspelt(kind: str, s: str) -> bool:
     return kind == "first" or (kind == "symbol" and len(s) >= LEAST_FUZZY)
 
@@ -101,22 +122,27 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
 
     An exact string goes before a misspelt one, a longer one before a shorter; among equals the entry whose name is
     closest to the whole value wins, then the smallest symbol. An entry listed under a context word is named by it among
-    other words if these name none. The reference list passes through the driver once, to
-    count its letter pairs.
+    other words if these name none. The reference list stays distributed; of it only the RANKED
+    most frequent letter pairs, the lengths and the context words it lists come to the driver.
     """
     spark = values.sparkSession
     ship(spark)
-    entries = [(r[0], kind, s) for r in reference.select(symbol, name).where(F.col(symbol).isNotNull()).distinct().toLocalIterator() for kind, s in entry_strings(r[0], r[1])]
-    listed = {s for *_, s in entries}
-    rarity = Counter(p for s in listed for p in pairs_of(s))
-    cores = {sym: s for sym, kind, s in entries if kind == "core"}
-    ref_rows = [(sym, kind, s, may_be_misspelt(kind, s), cores.get(sym, ""), len(pairs_of(s)), pairs_of(s), p, i) for sym, kind, s in entries for p, i in prefix_rows(s, rarity, LOST_PAIRS if may_be_misspelt(kind, s) else 0)]
-    index = spark.createDataFrame(ref_rows, "symbol_ref string, kind string, rs string, inexact boolean, core string, rsize int, rpairs array<string>, pair string, rpos int")
-    if len(entries) <= BROADCAST_STRINGS:
+    entries, n_entries = Workspace(spark, "p5").save(listed_entries(reference, symbol, name), "entries")
+    seen = entries.agg(F.collect_set(F.struct(F.length("rs").alias("n"), "inexact")).alias("lengths"), F.collect_set(F.when(F.col("rs").isin(*sorted(CONTEXT)), F.col("rs"))).alias("context")).collect()[0]
+    lengths = frozenset(r["n"] + d for r in seen["lengths"] for d in ((-1, 0, 1) if r["inexact"] else (0,)))
+    named = sorted(seen["context"])
+    context = CONTEXT - set(named)
+    rarity = {r["p"]: r["count"] for r in entries.select("rs", "rpairs").distinct().select(F.explode("rpairs").alias("p")).groupBy("p").count().orderBy(F.desc("count"), "p").limit(RANKED).collect()}
+    shared = spark.sparkContext.broadcast(rarity)
+
+    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(*r, p, i) for r in batch.itertuples(index=False) for p, i in prefix_rows(r.rs, shared.value, LOST_PAIRS if r.inexact else 0)]
+            yield pd.DataFrame(rows, columns=[*batch.columns, "pair", "rpos"])
+
+    index = entries.mapInPandas(place, ENTRY + ", pair string, rpos int")
+    if n_entries <= BROADCAST_STRINGS:
         index = F.broadcast(index)
-    context = CONTEXT - listed
-    lengths = frozenset(len(s) + d for _, kind, s in entries for d in ((-1, 0, 1) if may_be_misspelt(kind, s) else (0,)))
-    shared = spark.sparkContext.broadcast(dict(rarity))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         split = ((v, words_of(v)) for batch in batches for v in batch["value"])
@@ -140,7 +166,7 @@ def match_values(values: DataFrame, reference: DataFrame, symbol: str, name: str
     fuzzy = F.col("inexact") & (F.levenshtein("s", "rs", 1) == 1)
     kept = verified.where(exact | fuzzy).withColumn("exact", exact).withColumn("apart", F.levenshtein("whole", "core"))
     # the best entry is a minimum: combined before the shuffle, no sort of a value's candidates
-    weak = F.col("s").isin(*sorted(CONTEXT & listed)) & (F.col("s") != F.col("whole"))
+    weak = F.col("s").isin(*named) & (F.col("s") != F.col("whole"))
     order = F.struct(
         weak.alias("weak"), (~exact).alias("misspelt"), F.when(exact, -F.length("s")).otherwise(0).alias("shorter"), F.levenshtein("whole", "core").alias("apart"), (-F.col("similarity")).alias("unlike"), "symbol_ref", "kind", "similarity"
     )
