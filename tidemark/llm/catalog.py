@@ -44,6 +44,11 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return judged.where("quality.prose < 0.5").where(F.length(strip("text")) >= 40).select("kind", "id").distinct()
 
 
+def p2_statistics(spark: SparkSession, d: str) -> DataFrame:
+    """(kind, id, chars, words, ...) of each delivered text: the statistics alone."""
+    return p2_quality(spark, d).select("kind", "id", "chars", "words", *(F.round(c, 9).alias(c) for c in ("mean_word_length", "symbol_ratio", "closed_lines", "common_words"))).where("chars IS NOT NULL")
+
+
 def p5_mapped(spark: SparkSession, d: str) -> DataFrame:
     """(mention_id, symbol, symbol_ref) of each mention; symbol_ref is '' where the value names no entry."""
     mentions = table(spark, d, "exploded").select("mention_id", "symbol")
@@ -91,13 +96,32 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return residue.find_residue(table(spark, d, "documents"), "text", "source").select("doc_id").distinct()
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p5_found, p5_mapped, p6_found, p6_nearest, p7_found, p8_ids, p9_found, p10_found)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_quality, p2_statistics, p5_found, p5_mapped, p6_found, p6_nearest, p7_found, p8_ids, p9_found, p10_found)}
 
 _NEAREST = """days AS (SELECT DISTINCT symbol, day FROM reddit_daily),
   priced AS (SELECT DISTINCT upper(regexp_replace(symbol, '^\\s+|\\s+$', '', 'g')) AS symbol, day AS price_day FROM prices WHERE Close IS NOT NULL),
   ranked AS (SELECT d.symbol, d.day, p.price_day, row_number() OVER (PARTITION BY d.symbol, d.day ORDER BY abs(date_diff('day', d.day, p.price_day)), p.price_day) AS r
     FROM days d LEFT JOIN priced p ON p.symbol = d.symbol AND abs(date_diff('day', d.day, p.price_day)) <= 3)"""
+_BLANK = r"[\s\p{Z}\x{0B}\x{1C}-\x{1F}\x{85}]"
+_LETTERS = r"[\p{L}\p{Nl}\p{No}]"
+_REST = rf"(?:{_BLANK}|\p{{Cf}})*"
+
+
+def _gone(c: str) -> str:
+    return rf"coalesce(regexp_matches({c}, '^{_REST}(?:\[(?i:removed|deleted)\])?{_REST}$'), true)"
+
+
+_STATISTICS = rf"""WITH texts AS (
+    SELECT 'submission' AS kind, id, CASE WHEN {_gone("selftext")} THEN coalesce(title, '') ELSE coalesce(title, '') || chr(10) || chr(10) || selftext END AS t FROM submissions
+    UNION ALL SELECT 'comment', id, CASE WHEN NOT {_gone("body")} THEN body END FROM comments),
+  parts AS (SELECT kind, id, t, regexp_extract_all(lower(t), '{_LETTERS}+(?:[''’]{_LETTERS}+)?') AS w, length(regexp_replace(t, '{_BLANK}', '', 'g')) AS solid, length(regexp_replace(t, '[^\p{{L}}\p{{N}}]', '', 'g')) AS plain,
+      list_filter(regexp_split_to_array(t, '\r\n|[\n\r\x{{0B}}\x{{0C}}\x{{1C}}-\x{{1E}}\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: NOT regexp_full_match(x, '{_BLANK}*')) AS l FROM texts WHERE t IS NOT NULL)
+  SELECT kind, id, length(t)::INTEGER AS chars, len(w)::INTEGER AS words, round(CASE WHEN len(w) > 0 THEN list_sum(list_transform(w, lambda x: length(x))) / len(w) ELSE 0 END, 9) AS mean_word_length,
+    round(CASE WHEN solid > 0 THEN (solid - plain) / solid ELSE 0 END, 9) AS symbol_ratio,
+    round(CASE WHEN len(l) > 0 THEN len(list_filter(l, lambda x: regexp_matches(x, '[.!?…]["''”’)\]*]*{_BLANK}*$'))) / len(l) ELSE 0 END, 9) AS closed_lines,
+    round(CASE WHEN len(w) > 0 THEN len(list_filter(w, lambda x: x IN ({", ".join(f"'{w}'" for w in sorted(quality.COMMON))}))) / len(w) ELSE 0 END, 9) AS common_words FROM parts"""
 ORACLE = {
+    "p2_statistics": _STATISTICS,
     "p6_found": f"WITH {_NEAREST} SELECT symbol, strftime(day, '%Y-%m-%d') AS day, strftime(price_day, '%Y-%m-%d') AS price_day FROM ranked WHERE r = 1 AND price_day <> day",
     "p6_nearest": f"WITH {_NEAREST} SELECT symbol, day, price_day FROM ranked WHERE r = 1",
 }
