@@ -17,28 +17,28 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return best.select(*(F.col(c) if c in keys else F.col(f"__f.`{c}`").alias(c) for c in df.columns))
 
 
-def kept_times(times: Column, window_seconds: int) -> Column:
-    """Of a sorted array of times those that start anew: each more than the window after the last one kept."""
-    start = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.array().cast("array<bigint>").alias("kept"))
+def kept_rows(rows: Column, window_seconds: int) -> Column:
+    """Of a sorted array of rows (__t, ...) those that start anew: each more than the window after the last one kept."""
+    start = F.struct(F.lit(None).cast("bigint").alias("anchor"), F.slice(rows, 1, 0).alias("kept"))
 
-    def step(acc: Column, t: Column) -> Column:
-        fresh = acc["anchor"].isNull() | (t - acc["anchor"] > window_seconds)
-        return F.when(fresh, F.struct(t.alias("anchor"), F.concat(acc["kept"], F.array(t)).alias("kept"))).otherwise(acc)
+    def step(acc: Column, row: Column) -> Column:
+        fresh = acc["anchor"].isNull() | (row["__t"] - acc["anchor"] > window_seconds)
+        return F.when(fresh, F.struct(row["__t"].alias("anchor"), F.concat(acc["kept"], F.array(row)).alias("kept"))).otherwise(acc)
 
-    return F.aggregate(times, start, step)["kept"]
+    return F.aggregate(rows, start, step)["kept"]
 
 
 def drop_near_duplicates(df: DataFrame, keys: Sequence[Column], day: str, seconds: str, row: str, window_seconds: int = 3600) -> DataFrame:
     """Rows of a day with equal keys count as repeats while they lie within the window of the last row kept.
 
-    Missing times count as 0. Only the distinct seconds of a day and key are gathered (at most 86,400 numbers, however
-    many rows a hot key has); of the rows of a kept second the smallest ``row`` stays.
+    Missing times count as 0. Only the distinct seconds of a day and key are gathered, each with its smallest ``row``,
+    which stays if the second does (at most 86,400 pairs, however many rows a hot key has).
     """
     marked = df.withColumns({f"__k{i}": k for i, k in enumerate(keys)}).withColumn("__t", F.coalesce(F.col(seconds).cast("bigint"), F.lit(0).cast("bigint")))
     group = [day, *(f"__k{i}" for i in range(len(keys)))]
     firsts = marked.groupBy(*group, "__t").agg(F.min(row).alias(row))
-    kept = firsts.groupBy(*group).agg(F.sort_array(F.collect_list("__t")).alias("__ts")).select(*group, F.explode(kept_times(F.col("__ts"), window_seconds)).alias("__t"))
-    stay = firsts.join(kept, [*group, "__t"]).select(*group, "__t", row)
+    gathered = firsts.groupBy(*group).agg(F.sort_array(F.collect_list(F.struct("__t", row))).alias("__rows"))
+    stay = gathered.select(*group, F.explode(kept_rows(F.col("__rows"), window_seconds)).alias("__s")).select(*group, "__s.__t", F.col(f"__s.`{row}`").alias(row))
     return marked.join(stay, [*group, "__t", row], "left_semi").select(*df.columns)
 
 

@@ -37,8 +37,7 @@ def with_document_fields(mentions: DataFrame, documents: DataFrame) -> DataFrame
 
 def dominant_asset(mentions: DataFrame) -> DataFrame:
     """The most frequent asset type of a day and symbol; the alphabetically first of equally frequent ones."""
-    counts = mentions.where("asset_type IS NOT NULL").groupBy(*KEY, "asset_type").count()
-    return counts.groupBy(*KEY).agg(F.min(F.struct((-F.col("count")).alias("n"), "asset_type")).alias("m")).select(*KEY, "m.asset_type")
+    return mentions.where("asset_type IS NOT NULL").groupBy(*KEY).agg(F.mode("asset_type", True).alias("asset_type"))
 
 
 def subreddit_entropy(mentions: DataFrame) -> DataFrame:
@@ -53,7 +52,7 @@ def daily_features(mentions: DataFrame) -> DataFrame:
     """The 22 features of each day and symbol of usable mentions.
 
     Rows without confidence count in counts and means but not in the weighted sentiment; all-null sums are 0;
-    shares without a denominator are null. Three aggregations, all partitioned by (day, symbol), joined in place.
+    shares without a denominator are null. The entropy needs counts of its own; it is joined by the key that both share.
     """
     weights = F.sum("conf")
     base = mentions.groupBy(*KEY).agg(
@@ -70,6 +69,7 @@ def daily_features(mentions: DataFrame) -> DataFrame:
         F.count("is_forward").cast("double").alias("forward_total"),
         F.avg("value_score").alias("value_mean"),
         F.median("value_score").alias("value_median"),
+        F.mode("asset_type", True).alias("asset_type"),  # of equally frequent ones the alphabetically first
         F.when(weights > 0, F.sum(F.col("sentiment_score") * F.col("conf")) / weights).alias("sent_weighted"),
     )
     base = (
@@ -78,7 +78,7 @@ def daily_features(mentions: DataFrame) -> DataFrame:
         .withColumn("engagement_mean", F.col("score_mean") + F.col("comments_mean"))
         .withColumn("user_concentration", F.try_divide("unique_authors", "chatter_count"))
     )
-    return base.join(dominant_asset(mentions), KEY, "left").join(subreddit_entropy(mentions), KEY, "left")
+    return base.join(subreddit_entropy(mentions), KEY, "left")
 
 
 #: The columns of the first version of the table.
