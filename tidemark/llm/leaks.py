@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import batched
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -21,6 +22,8 @@ SEPARATORS = re.compile(r"[\W_]+")
 BLOCK = 10
 #: Words of passages whose tables are held at once; further passages are searched in further passes.
 WORDS_PER_PASS = 100_000
+#: So many sets of them are searched in one pass over the corpus.
+AT_ONCE = 4
 
 
 def fold(text: str) -> str:
@@ -116,13 +119,13 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     """
     schema = docs.select(doc_id).schema.add("item_id", items.schema[item_id].dataType)
     found = docs.sparkSession.createDataFrame([], schema)
-    for searcher in passes(items, item_id, passage, words):
-        tables = docs.sparkSession.sparkContext.broadcast(searcher)
+    for some in batched(passes(items, item_id, passage, words), AT_ONCE):
+        tables = [docs.sparkSession.sparkContext.broadcast(searcher) for searcher in some]
 
         def search(batches: Iterator[pd.DataFrame], tables=tables) -> Iterator[pd.DataFrame]:
-            look = tables.value.items
+            looks = [t.value.items for t in tables]
             for batch in batches:
-                pairs = [(d, i) for d, t in zip(batch.iloc[:, 0], batch.iloc[:, 1]) for i in look(t)]
+                pairs = [(d, i) for d, t in zip(batch.iloc[:, 0], batch.iloc[:, 1]) for look in looks for i in look(t)]
                 yield pd.DataFrame(pairs, columns=[doc_id, "item_id"])
 
         found = found.unionByName(docs.select(doc_id, text).where(F.length(text) > 0).mapInPandas(search, schema))

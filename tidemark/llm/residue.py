@@ -43,7 +43,7 @@ CHARS_AT_ONCE = 2_000_000
 MARKS, LETTERS = 4, 24
 #: So many features without weight are added to each line, which holds lines of a word or two back.
 SHRINK = 25
-#: Lines with a smaller share of different tokens are repetitive.
+#: Lines in which more of the tokens than this share equal one of the next two are repetitive.
 REPETITIVE = 0.5
 
 _REASONS = "|".join(sorted({re.escape(s.phrase).replace(r"\ ", " ") for s in HTTPStatus if s >= 400} | {"Page not found", "Access denied", "(?:Unknown|Server|Client|Network|Database|Application) error"}, key=len, reverse=True))
@@ -88,13 +88,16 @@ LABELS = {
     ],
 }
 WEAK = [re.compile(p) for ps in LABELS.values() for p in ps]
+#: Labels that only lines of up to so many characters may bear, as their patterns say, are not looked for in longer ones.
+SHORT = 160
+WEAK_AT_ANY_LENGTH = [p for p in WEAK if not p.pattern.startswith(f"(?i)^(?=.{{0,{SHORT}}}$)")]
 
 TOKEN = re.compile(r"[\r\n]+|_{2,}|[^\W\d_]+(?:_[^\W\d_]+)*|\d+|[^\w\s]+|_")
 
 
 def weak(line: str) -> bool:
     """Whether a line bears a weak label."""
-    return any(p.search(line) for p in WEAK)
+    return any(p.search(line) for p in (WEAK if len(line) <= SHORT else WEAK_AT_ANY_LENGTH))
 
 
 def made_lines() -> list[str]:
@@ -210,8 +213,8 @@ def line_features(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
         _bits(u(bucket), salt=8), _bits(u(titled), salt=9), _bits(u(shouted), salt=10),
     ])
     lines_of_features = np.concatenate([own, own, own[after > 0], own, own[opening], own[marked], own[marked], per_line, per_line, per_line])
-    different = np.bincount(np.unique(own * (ids.max() + 1) + ids[at]) // (ids.max() + 1), minlength=lines)
-    repetitive = (different < REPETITIVE * size)[lines_of_features]
+    again = np.bincount(own, (h[at] == nxt) | (h[at] == after), lines)
+    repetitive = (again > REPETITIVE * size)[lines_of_features]
     if repetitive.any():
         once = np.unique(lines_of_features[repetitive] << BITS | features[repetitive])
         features = np.concatenate([features[~repetitive], once & (1 << BITS) - 1])
