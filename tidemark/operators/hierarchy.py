@@ -22,6 +22,8 @@ from tidemark.session import Workspace
 
 RULER_EVERY = 32
 SIBLING_BLOCKS = 4096
+#: Intervals are cut into blocks of at most two to this power: so many nodes meet under one key, however large a tree is.
+BLOCK_LEVELS = 12
 
 
 def nodes(df: DataFrame, key: Column, parent: Column) -> DataFrame:
@@ -155,20 +157,20 @@ def hierarchy(tree: DataFrame, ws: Workspace) -> DataFrame:
 def ancestor_pairs(spans: DataFrame) -> DataFrame:
     """(root, ancestor, ancestor_depth, k, depth) for each node and each proper ancestor, from entry and exit.
 
-    Every interval is cut into aligned blocks of powers of two, each position belongs to one block per level, and
-    the two meet in an equi-join on (root, level, block): each pair exactly once, no range comparison.
+    Every interval is cut into aligned blocks of powers of two up to BLOCK_LEVELS, each position belongs to one block per
+    level, and the two meet in an equi-join on (root, level, block): each pair exactly once, no range comparison.
     """
     placed = spans.where("root IS NOT NULL").select("k", "root", "depth", "entry", "exit")
-    levels = placed.where("k = root").select("root", F.floor(F.log2(F.col("exit") + 1)).cast("int").alias("top"))
+    levels = placed.where("k = root").select("root", F.least(F.floor(F.log2(F.col("exit") + 1)), F.lit(BLOCK_LEVELS)).cast("int").alias("top"))
     blocks = (
         placed.where("exit - entry > 1")
         .select("root", F.col("k").alias("ancestor"), F.col("depth").alias("ancestor_depth"), (F.col("entry") + 1).alias("a"), F.col("exit").alias("b"))
-        .withColumn("lvl", F.explode(F.expr("sequence(0, cast(floor(log2(b - a)) as int))")))
+        .withColumn("lvl", F.explode(F.expr(f"sequence(0, cast(least(floor(log2(b - a)), {BLOCK_LEVELS}) as int))")))
         .withColumn("size", F.expr("shiftleft(1L, lvl)"))
         .withColumn("l", F.expr("(a + size - 1) div size"))
         .withColumn("r", F.expr("b div size"))
         .where("l < r")
-        .withColumn("blk", F.explode(F.expr("filter(array(if(l % 2 = 1, l, null), if(r % 2 = 1, r - 1, null)), x -> x is not null)")))
+        .withColumn("blk", F.explode(F.expr(f"if(lvl = {BLOCK_LEVELS}, sequence(l, r - 1), filter(array(if(l % 2 = 1, l, null), if(r % 2 = 1, r - 1, null)), x -> x is not null))")))
         .select("root", "lvl", "blk", "ancestor", "ancestor_depth")
     )
     points = placed.where("k <> root").join(levels, "root").withColumn("lvl", F.explode(F.expr("sequence(0, top)"))).select("root", "lvl", F.expr("shiftright(entry, lvl)").alias("blk"), "k", "depth")
