@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ship
+
 #: The pattern that splits text before the merges of the rank files (a fixed value of the public vocabularies).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: The unknown piece; mapped texts hold no private-use characters, so it never occurs in one.
@@ -115,6 +117,7 @@ def encode_corpus(df: DataFrame, text: str, ranks_path: str, pattern: str = PATT
     The model (some bytes per vocabulary entry, whatever the corpus) is broadcast once; the rows stay in place, so
     nothing is shuffled.
     """
+    ship(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(serialise(read_ranks(ranks_path)))
 
     @F.pandas_udf("array<int>")

@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import ship
+
 SEPARATORS = re.compile(r"[\W_]+")
 BLOCK = 10
 #: Words of passages whose tables are held at once; further passages are searched in further passes.
@@ -118,6 +120,7 @@ def leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: st
     Null and empty texts and passages, and passages of fewer words, give no rows; repeated documents give one.
     """
     schema = docs.select(doc_id).schema.add("item_id", items.schema[item_id].dataType)
+    ship(docs.sparkSession)
     found = docs.sparkSession.createDataFrame([], schema)
     for some in batched(passes(items, item_id, passage, words), AT_ONCE):
         tables = [docs.sparkSession.sparkContext.broadcast(searcher) for searcher in some]

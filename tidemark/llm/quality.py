@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.sampling import smallest_hashes
+from tidemark.session import ship
 
 STATES = ("prose", "list", "table", "junk")
 #: Texts on which the model is fitted: those with the smallest hashes, never more; longer ones than SAMPLE_CHARS are not chosen.
@@ -254,6 +255,7 @@ def text_quality(df: DataFrame, text: Column, least_chars: int = 40, counts: boo
     Empty and blank texts have zero counts and count as prose. One pass over the rows with the fitted model (a few
     kilobytes) broadcast; nothing is shuffled.
     """
+    ship(df.sparkSession)
     fitted = df.sparkSession.sparkContext.broadcast(LineModel.fit(sample(df, text, least_chars)))
     result = RESULT if counts else SHARES
     names = [x.split()[0] for x in result.split(", ")]

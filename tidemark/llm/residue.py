@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tidemark.llm.sampling import shares, within
+from tidemark.session import ship
 
 #: Hashed feature space; the texts that are looked at for examples, and the lines of either label that take part.
 BITS = 18
@@ -341,6 +342,7 @@ def labelled_lines(docs: DataFrame, text: str, host: str) -> list[tuple[str, str
                 out += [(x, h, int(w), zlib.crc32(f"{x}\n{t}".encode("utf-8", "replace"))) for x, w in zip(lines, found) if w or not any(found)]
             yield pd.DataFrame(out, columns=["line", "host", "label", "h"])
 
+    ship(docs.sparkSession)
     texts = docs.select(F.col(text).alias("text"), F.col(host).cast("string").alias("host")).where(F.length("text") <= SAMPLE_CHARS)
     drawn: dict[int, list] = {0: [], 1: []}
     for step, share in enumerate(shares(docs.count(), SAMPLE_TEXTS, 1)):
