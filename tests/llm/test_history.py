@@ -148,3 +148,45 @@ def test_prefixes_and_sketches_never_lose_a_near_vector():
         assert set(x[: H.prefix_length(len(x))]) & set(y[: H.prefix_length(len(y))])
         flipped = sum(((p ^ q) & (1 << 64) - 1).bit_count() for p, q in zip(H.parities(a), H.parities(b)))
         assert flipped <= len(set(a) ^ set(b))
+
+
+def test_cells_of_several_coordinates_never_lose_a_near_vector():
+    rnd = random.Random(6)
+    weights = [1 / (i + 3) for i in range(1500)]
+    for depth in range(1, H.DEEPEST + 1):
+        for _ in range(60):
+            a = sorted(set(rnd.choices(range(1500), weights, k=rnd.randrange(150, 500))))[: rnd.randrange(60, 140)]
+            if len(a) < 60:
+                continue
+            lost = len(a) - -(-len(a) * 8 // 10)
+            b = sorted(set(a) - set(rnd.sample(a, lost))) + rnd.sample(range(2000, 4000), rnd.randrange(lost + 1))
+            keyed = lambda v: sorted((1500 - c if c < 1500 else 0, c * 0x9E3779B97F4A7C15 & (1 << 64) - 1, min(12.0, 2 + c / 100), c % H.PARTS) for c in v)
+            x, y = (dict(zip(*H.cells_of(keyed(v), depth, 9.0))) for v in (a, b))
+            need = -(-max(len(a), len(b)) * 8 // 10)
+            assert len(set(a) & set(b)) >= need
+            assert any(1 + min(len(a) - x[c] - 1, len(b) - y[c] - 1) >= need for c in set(x) & set(y))
+
+
+def test_deep_cells_against_brute_force(spark, tmp_path, monkeypatch):
+    rows = records(random.Random(13))
+    df, want = shaped(spark, rows), brute(rows)
+    for enough, depth in ((1, 2), (1e-6, 6)):
+        monkeypatch.setattr(H, "CELL_TEXTS", enough)
+        monkeypatch.setattr(H, "ROUND_CELLS", 100)
+        assert H.arranged(H.prepared(df.where("batch = 0 AND text IS NOT NULL")), 30).depth == depth
+        got = [(r["id_a"], r["id_b"]) for r in H.repeated_records(df, Workspace(spark, "t")).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 40
+        history, one = H.History.create(spark, f"file://{tmp_path}/{depth}"), set()
+        for b in range(4):
+            one |= {(r["id_a"], r["id_b"]) for r in history.ingest(df.where(F.col("batch") == b)).collect()}
+        assert one == want and H.History.open(spark, f"file://{tmp_path}/{depth}").places == history.places
+
+
+def test_texts_of_one_vocabulary_do_not_fill_the_cells(spark, tmp_path):
+    rnd, n = random.Random(8), 4000
+    weights = [1 / (i + 10) for i in range(1500)]
+    rows = [(f"i{i}", 0, i, " ".join(f"w{k}" for k in rnd.choices(range(1500), weights, k=rnd.randrange(65, 110)))) for i in range(n)]
+    history = H.History.create(spark, f"file://{tmp_path}/v")
+    history.ingest(shaped(spark, rows))
+    met = history.shelf("cells").groupBy("cell").count().agg(F.sum(F.expr("count * (count - 1) / 2"))).first()[0]
+    assert met < 0.05 * n * (n - 1) / 2
