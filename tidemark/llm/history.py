@@ -63,7 +63,7 @@ BROADCAST_ROWS = 300_000
 #: The same for rows that hold whole texts.
 BROADCAST_TEXTS = 20_000
 #: Cells that ``repeated_records`` joins at once: so many in all, or so many a text; more go in several rounds.
-ROUND_CELLS, ROUND_CELLS_A_TEXT = 2_000_000, 16
+ROUND_CELLS, ROUND_CELLS_A_TEXT = 2_000_000, 10
 
 #: Letters that look like Latin ones (fixed values).
 LOOK_ALIKE = str.maketrans(
@@ -472,7 +472,7 @@ def near_classes(new: DataFrame, n_new: int, n_cells: int, ws: Workspace) -> tup
     """
     # both sides read the same columns under the same filters (none is inferred from within coalesce), so that one shuffle serves both
     earlier = F.coalesce(F.expr("x.first < q.last AND least(q.first, x.last) IS NOT NULL"), F.lit(False))
-    rounds = 1 if n_cells <= ROUND_CELLS else math.ceil(n_cells / n_new / ROUND_CELLS_A_TEXT)
+    rounds = math.ceil(min(n_cells / ROUND_CELLS, n_cells / n_new / ROUND_CELLS_A_TEXT)) or 1
     met, n = [], 0
     for r in range(rounds):
         cells = filed(new, "first", "last").where(F.pmod("cell", F.lit(rounds)) == r)
