@@ -63,7 +63,7 @@ BROADCAST_ROWS = 300_000
 #: The same for rows that hold whole texts.
 BROADCAST_TEXTS = 20_000
 #: Cells that ``repeated_records`` joins at once: so many in all, or so many a text; more go in several rounds.
-ROUND_CELLS, ROUND_CELLS_A_TEXT = 2_000_000, 10
+ROUND_CELLS, ROUND_CELLS_A_TEXT = 2_000_000, 6
 
 #: Letters that look like Latin ones (fixed values).
 LOOK_ALIKE = str.maketrans(
@@ -521,6 +521,8 @@ def repeated_records(records: DataFrame, ws: Workspace) -> DataFrame:
     order = arranged(texts, n_texts)
     classes = texts.groupBy("class").agg(*(F.min(c).alias(c) for c in ("kind", "words")), F.min("batch").alias("first"), F.max("batch").alias("last"))
     new, n_cells = ws.save(vectors(classes, order), "vectors", measure=F.sum(F.size("leading")))
+    ids, _ = ws.save(texts.select("kind", "class", "id", "batch"), "ids")
+    ws.drop(texts)
     free_shuffles(new)
     near, n_near = near_classes(new, n_texts, n_cells, ws)
     ws.drop(new)
@@ -535,7 +537,7 @@ def repeated_records(records: DataFrame, ws: Workspace) -> DataFrame:
 
     for b in sorted(r[0] for r in near.where("old_first < first").select("first").distinct().collect()):
         rejected.append(ws.save(accepted().where((F.col("first") == b) & (F.col("old_first") < b)).select("class").distinct(), "rejected")[0])
-    pairs = texts.select("kind", "class", "id", "batch").join(small(accepted()), "class").where("batch > old_first")
-    members = texts.select(F.col("class").alias("old"), F.col("batch").alias("old_first"), F.col("id").alias("old_id"))
+    pairs = ids.join(small(accepted()), "class").where("batch > old_first")
+    members = ids.select(F.col("class").alias("old"), F.col("batch").alias("old_first"), F.col("id").alias("old_id"))
     by_text = pairs.join(members, ["old", "old_first"]).select("kind", F.least("id", "old_id").alias("id_a"), F.greatest("id", "old_id").alias("id_b"))
     return again.unionByName(by_text).distinct()
